@@ -2,9 +2,10 @@
 
 Rules run in order: invalid fields, then collisions among the valid purchases, then replays, of
 which the earliest row stays. Copies of one purchase or one transaction may be a large part of the
-data, so no window groups them: both verdicts come from combined aggregates and return to the rows
-by left joins, which become broadcasts when the verdict tables are small (the usual case) and are
-split by adaptive execution otherwise.
+data, so no window groups them: the verdict per transaction comes from two combined aggregates,
+first by payload and then by transaction, and returns to the rows by one left join. Only
+transactions with a defect are in the verdict table; the join becomes a broadcast when it is small
+(the usual case) and is split by adaptive execution otherwise.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ REPLAY = "duplicate_purchase_replay"
 REASONS = (INVALID, COLLISION, REPLAY)
 
 _LAST = (1 << 63) - 1
-_WORK = ("_payload", "_tx", "_invalid", "_hash", "_collided", "_kept", "_place")
+_WORK = ("_payload", "_tx", "_invalid", "_collided", "_kept", "_place")
 
 
 def annotate_quarantine(
@@ -47,33 +48,27 @@ def annotate_quarantine(
     settled = flagged.where(~is_purchase | F.col("_invalid")).withColumn(
         "quarantine_reason", F.when(F.col("_invalid"), INVALID)
     )
-    # A valid purchase always has a transaction id, so these joins carry no null keys.
-    valid = flagged.where(is_purchase & ~F.col("_invalid")).withColumns(
-        {
-            "_hash": p["payload_hash"],
-            "_place": F.struct(
-                F.coalesce(F.unix_micros("ts"), F.lit(_LAST)).alias("at"),
-                F.col(tie_break).alias("tie"),
-            ),
-        }
+    # A valid purchase always has a transaction id, so this join carries no null keys.
+    place = F.struct(
+        F.coalesce(F.unix_micros("ts"), F.lit(_LAST)).alias("at"), F.col(tie_break).alias("tie")
     )
-    payloads = valid.groupBy(*scope, "_tx", "_hash").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("_place").alias("_kept")
-    )
-    collided = (
-        payloads.groupBy(*scope, "_tx")
-        .agg(F.count(F.lit(1)).alias("payloads"))
-        .where(F.col("payloads") > 1)
-        .select(*scope, "_tx", F.lit(True).alias("_collided"))
-    )
-    replayed = payloads.where(F.col("copies") > 1).select(*scope, "_tx", "_hash", "_kept")
-    judged = (
-        valid.join(collided, [*scope, "_tx"], "left")
-        .join(replayed, [*scope, "_tx", "_hash"], "left")
-        .withColumn(
-            "quarantine_reason",
-            F.when(F.col("_collided"), COLLISION).when(F.col("_place") > F.col("_kept"), REPLAY),
+    valid = flagged.where(is_purchase & ~F.col("_invalid")).withColumn("_place", place)
+    verdicts = (
+        valid.groupBy(*scope, "_tx", p["payload_hash"].alias("_hash"))
+        .agg(F.count(F.lit(1)).alias("copies"), F.min("_place").alias("first"))
+        .groupBy(*scope, "_tx")
+        .agg(
+            (F.count(F.lit(1)) > 1).alias("_collided"),
+            F.max("copies").alias("copies"),
+            # Only read where the transaction has a single payload.
+            F.min("first").alias("_kept"),
         )
+        .where(F.col("_collided") | (F.col("copies") > 1))
+        .drop("copies")
+    )
+    judged = valid.join(verdicts, [*scope, "_tx"], "left").withColumn(
+        "quarantine_reason",
+        F.when(F.col("_collided"), COLLISION).when(F.col("_place") > F.col("_kept"), REPLAY),
     )
     return settled.drop(*_WORK).unionByName(judged.drop(*_WORK))
 

@@ -37,12 +37,14 @@ from clicktide.operators.sessions import (
     narrow_slots,
     session_slots,
     sessionize,
+    sessions_from_slots,
     slot_lookup,
 )
 from clicktide.operators.shaping import canonical_identity, enrich_events, prepare_events
 from clicktide.plans.event_view import raw_events
 from clicktide.session import tune
 from clicktide.settings import UTM_FIELDS, LandingRules
+from clicktide.sources.tables import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,21 +79,28 @@ def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_events(raw_events(spark, sf_dir))
 
 
-def _purchases(prepared: DataFrame) -> DataFrame:
+def _purchases(prepared: DataFrame, slots: DataFrame | None = None) -> DataFrame:
     """Only purchase events meet the session lookup."""
-    lookup = slot_lookup(narrow_slots(prepared))
+    lookup = slot_lookup(narrow_slots(prepared) if slots is None else slots)
     return extract_purchases(assign_sessions(purchase_events(prepared), lookup))
 
 
 def _tables(prepared: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    sessions, purchases = build_sessions(prepared), _purchases(prepared)
-    attribution = attribute_purchases(purchases, sessions, buyers=purchase_events(prepared))
-    return sessions, purchases, attribution
+    """Sessions, purchases and attribution; slots and purchases are stored, as branches share them.
+
+    The events are read twice: all of them for the slots, purchases only for the purchase table.
+    """
+    slots = materialize(session_slots(prepared), "slots")
+    sessions = sessions_from_slots(slots)
+    purchases = materialize(_purchases(prepared, slots), "purchases")
+    return sessions, purchases, attribute_purchases(purchases, sessions)
 
 
 def _funnel(prepared: DataFrame) -> DataFrame:
-    lookup = slot_lookup(session_slots(prepared))
-    return daily_channel_funnel(assign_sessions(prepared, lookup), build_sessions(prepared))
+    slots = materialize(session_slots(prepared), "slots")
+    return daily_channel_funnel(
+        assign_sessions(prepared, slot_lookup(slots)), sessions_from_slots(slots)
+    )
 
 
 def _metrics(prepared: DataFrame) -> DataFrame:
@@ -365,7 +374,7 @@ _register_model("attribution_daily_last_non_direct", "last_non_direct")
 @query("clean_attribution_revenue")
 def clean_attribution_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: quarantine, sessions, purchases, attribution, daily channel revenue."""
-    kept = cleaned(annotate_quarantine(raw_events(spark, sf_dir)))
+    kept = materialize(cleaned(annotate_quarantine(raw_events(spark, sf_dir))), "cleaned")
     _, _, attribution = _tables(enrich_events(kept))
     return _rounded(
         attributed_revenue_for(attribution, "last_non_direct"), 2, "attributed_revenue"

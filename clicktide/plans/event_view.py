@@ -81,9 +81,18 @@ COLUMNS = {
 }
 
 
+def spread(scan: DataFrame, key: str = "event_id") -> DataFrame:
+    """Cut a scan with fewer splits than cores (one small file) into one part per core.
+
+    A large table has more splits than cores and stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw web events over the whole `events` table."""
-    given = spark.read.parquet(f"{sf_dir}/events.parquet")
+    given = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     copied = given.selectExpr("*", f"{SPARK_COPY} AS copy")
     return copied.selectExpr(*[f"{sql} AS {name}" for name, sql in COLUMNS.items()])
 

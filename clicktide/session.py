@@ -20,11 +20,3 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """The cluster's shared checkpoint folder; `fallback` is used only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    folder = configured or fallback
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
