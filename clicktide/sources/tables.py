@@ -43,7 +43,10 @@ def read_by_partition(
 
 
 def write_table(df: DataFrame, path: str, format: str = "parquet") -> str:
-    df.write.mode("overwrite").format(format).option("header", True).save(path)
+    writer = df.write.mode("overwrite").format(format)
+    if format == "csv":
+        writer = writer.option("header", True).option("escape", '"')
+    writer.save(path)
     return path
 
 

@@ -1,0 +1,335 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicktide.operators import quality
+from clicktide.operators.cleaning import (
+    COLLISION,
+    INVALID,
+    REPLAY,
+    annotate_quarantine,
+    cleaned,
+    cleaning_manifest,
+    cleaning_summary,
+    quarantined,
+)
+from clicktide.settings import Contract
+
+DAY = "2025-02-27T10:00:{:02}Z"
+
+
+def purchase(tx, revenue=10, second=0, **extra):
+    items = extra.pop("items", [{"item_id": "i", "quantity": 1}])
+    body = {"transaction_id": tx, "revenue": revenue, "items": items, **extra.pop("payload", {})}
+    row = {
+        "client_id": "u",
+        "event_name": "checkout_completed",
+        "timestamp": DAY.format(second),
+        "event_data": json.dumps(body),
+    }
+    return {**row, **extra}
+
+
+def reasons(events, **options):
+    rows = annotate_quarantine(events, **options).collect()
+    return {r.event_id: r.quarantine_reason for r in rows}
+
+
+def test_quarantine_reasons_in_order(make_events):
+    events = make_events(
+        [
+            purchase("ok"),
+            purchase("zero", revenue=0),
+            purchase(None),
+            purchase("c", revenue=1),
+            purchase("c", revenue=2),
+            purchase("r", second=5),
+            purchase("r", second=3),
+            purchase("r", second=5),
+            {"client_id": "u", "timestamp": DAY.format(0)},
+            {"client_id": "u", "timestamp": DAY.format(0), "event_name": None},
+        ]
+    )
+    assert reasons(events) == {
+        0: None, 1: INVALID, 2: INVALID, 3: COLLISION, 4: COLLISION,
+        5: REPLAY, 6: None, 7: REPLAY, 8: None, 9: None,
+    }
+
+
+def test_invalid_rows_do_not_collide(make_events):
+    events = make_events([purchase("c", revenue=0), purchase("c", revenue=2)])
+    assert reasons(events) == {0: INVALID, 1: None}
+
+
+def test_collision_beats_replay(make_events):
+    events = make_events([purchase("c"), purchase("c"), purchase("c", revenue=3)])
+    assert set(reasons(events).values()) == {COLLISION}
+
+
+def test_replays_differing_only_in_key_order(make_events):
+    a, b = purchase("t", second=1), purchase("t", second=2)
+    body = json.loads(b["event_data"])
+    b["event_data"] = json.dumps(dict(reversed(body.items())))
+    assert reasons(make_events([a, b])) == {0: None, 1: REPLAY}
+
+
+def test_scope_is_the_partition_unless_widened(make_events):
+    a = purchase("t", partition_date="20250227")
+    b = purchase("t", revenue=5, partition_date="20250228")
+    assert set(reasons(make_events([a, b])).values()) == {None}
+    assert set(reasons(make_events([a, b]), scope=()).values()) == {COLLISION}
+
+
+def test_replay_without_a_time_comes_last(make_events):
+    events = make_events(
+        [purchase("t", timestamp="x", partition_date="20250227"), purchase("t")]
+    )
+    assert reasons(events) == {0: REPLAY, 1: None}
+
+
+def test_hot_copies_match_a_plain_loop(make_events):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(300):
+        tx = "hot" if rng.random() < 0.35 else f"t{rng.randrange(60)}"
+        revenue = 7 if tx == "hot" else rng.choice([0, 7, 7, 7, 9])
+        rows.append(purchase(tx, revenue=revenue, second=rng.randrange(60)))
+    want, groups = {}, {}
+    for i, row in enumerate(rows):
+        body = json.loads(row["event_data"])
+        if body["revenue"] <= 0:
+            want[i] = INVALID
+        else:
+            groups.setdefault(body["transaction_id"], []).append((row["timestamp"], i, body["revenue"]))
+    for members in groups.values():
+        if len({m[2] for m in members}) > 1:
+            want.update({m[1]: COLLISION for m in members})
+        else:
+            first, *rest = sorted(members)
+            want[first[1]] = None
+            want.update({m[1]: REPLAY for m in rest})
+    events = make_events(rows)
+    assert reasons(events) == want
+    annotated = annotate_quarantine(events)
+    assert cleaned(annotated).count() + quarantined(annotated).count() == len(rows)
+
+
+def test_summary_and_manifest(make_events):
+    events = make_events([purchase("a"), purchase("z", revenue=0), purchase("y", items=[])])
+    summary = cleaning_summary(annotate_quarantine(events))
+    row = summary.first()
+    assert (row.clean_rows, row.quarantine_rows, row[INVALID], row[COLLISION]) == (1, 2, 2, 0)
+    assert cleaning_manifest(summary).first().quarantine_reason_counts == {INVALID: 2}
+
+
+def test_quarantine_of_known_bad_purchases(make_events):
+    """A null item with revenue 0 is invalid; two orders under one id collide."""
+    empty_item = dict.fromkeys(["item_id", "item_name", "item_variant", "quantity", "item_price"])
+    events = make_events(
+        [
+            purchase("ORD-20250227-314", revenue=0, items=[empty_item]),
+            purchase("ORD-20250227-262", revenue=1549),
+            purchase("ORD-20250227-262", revenue=2599),
+        ]
+    )
+    assert reasons(events) == {0: INVALID, 1: COLLISION, 2: COLLISION}
+
+
+# --- quality ----------------------------------------------------------------------
+
+
+def results(events, **options):
+    rows = quality.run_all_checks(events, **options).collect()
+    return {(r.partition_date, r.check_id): r for r in rows}
+
+
+def page(**extra):
+    return {
+        "client_id": "u", "timestamp": DAY.format(1), "page_url": "https://s/", "referrer": "https://r/",
+        "event_data": "{}", **extra,
+    }
+
+
+def test_clean_partition_passes_everything(make_events):
+    got = results(make_events([page(), purchase("t", page_url="p", referrer="r")]))
+    assert all(r.passed for r in got.values())
+    assert len(got) == 10
+    score = quality.score_partitions(quality.run_all_checks(make_events([page()]))).first()
+    assert (score.dq_score, score.decision, score.failed) == (100, "PASS", 0)
+
+
+def test_partition_without_purchases_has_the_info_row(make_events):
+    got = results(make_events([page()]))
+    row = got[("20250227", "purchase.integrity.no_purchases")]
+    assert (row.passed, row.severity) == (True, "P3_INFO")
+    assert len(got) == 8
+
+
+def test_schema_checks_use_the_scanned_columns(make_events):
+    events = make_events([page()]).withColumn(
+        "source_columns", F.array(F.lit("page_url"), F.lit("event_name"))
+    )
+    got = {k[1]: r for k, r in results(events).items()}
+    assert not got["schema.required_columns_present"].passed
+    missing = json.loads(got["schema.required_columns_present"].details)["missing_columns"]
+    assert missing == ["timestamp", "event_data", "user_agent"]
+    assert not got["schema.identity_column_present"].passed
+    assert (got["schema.referrer_column_present"].passed, got["schema.referrer_column_present"].severity) == (False, "P1_HIGH")
+    for check in ("integrity.event_data_json_parse_rate", "integrity.timestamp_parse_and_partition_alignment"):
+        assert (got[check].passed, got[check].severity) == (False, "P0_BLOCKER")
+
+
+@pytest.mark.parametrize(
+    "bad,passed,severity", [(0, True, "P3_INFO"), (1, True, "P3_INFO"), (2, False, "P2_MEDIUM"), (3, False, "P1_HIGH")]
+)
+def test_json_parse_rate_ladder(make_events, bad, passed, severity):
+    rows = [page(event_data="{bad" if i < bad else "{}") for i in range(100)]
+    row = results(make_events(rows))[("20250227", "integrity.event_data_json_parse_rate")]
+    assert (row.passed, row.severity) == (passed, severity)
+
+
+@pytest.mark.parametrize(
+    "late,broken,passed,severity",
+    [(0, 0, True, "P3_INFO"), (5, 0, True, "P3_INFO"), (6, 0, False, "P1_HIGH"), (11, 0, False, "P0_BLOCKER"),
+     (0, 1, True, "P2_MEDIUM"), (0, 2, False, "P0_BLOCKER")],
+)
+def test_timestamp_ladder(make_events, late, broken, passed, severity):
+    rows = [page(partition_date="20250227") for _ in range(100)]
+    for i in range(late):
+        rows[i]["timestamp"] = "2025-02-28T00:00:01Z"
+    for i in range(broken):
+        rows[50 + i]["timestamp"] = "x"
+    row = results(make_events(rows))[
+        ("20250227", "integrity.timestamp_parse_and_partition_alignment")
+    ]
+    assert (row.passed, row.severity) == (passed, severity)
+
+
+@pytest.mark.parametrize(
+    "anonymous,passed,severity", [(2, True, "P3_INFO"), (10, True, "P2_MEDIUM"), (11, False, "P1_HIGH")]
+)
+def test_identity_ladder(make_events, anonymous, passed, severity):
+    rows = [page(client_id=None if i < anonymous else "u") for i in range(100)]
+    row = results(make_events(rows))[("20250227", "tracking.identity_null_rate")]
+    assert (row.passed, row.severity) == (passed, severity)
+
+
+def test_purchase_checks_and_score(make_events):
+    rows = [
+        purchase("c", revenue=1), purchase("c", revenue=2), purchase("r"), purchase("r"),
+        purchase(None, revenue=3), purchase("i", items=[]), page(event_name="odd"),
+    ]
+    events = make_events([{**r, "page_url": "p", "referrer": "r"} for r in rows])
+    got = {k[1]: r for k, r in results(events).items()}
+    assert got["purchase.integrity.required_fields_and_positive_revenue"].measure == 2
+    assert got["purchase.transaction_id_collision"].measure == 1
+    assert got["purchase.transaction_id_replay_duplicates"].measure == 2
+    assert got["schema.unknown_event_names"].measure == 1
+    score = quality.score_partitions(quality.run_all_checks(events)).first()
+    # 30 collision, 15 invalid, 15 replay, 5 unknown name
+    assert (score.dq_score, score.decision) == (35, "QUARANTINE")
+    assert (score.failed, score.p0_failed, score.p1_failed, score.p2_failed) == (4, 1, 2, 1)
+    names = quality.unknown_event_names(events).collect()
+    assert [(n.event_name, n.rows) for n in names] == [("odd", 1)]
+
+
+def test_replays_without_transaction_id_count(make_events):
+    rows = [purchase(None), purchase(None)]
+    got = {k[1]: r.measure for k, r in results(make_events(rows)).items()}
+    assert got["purchase.transaction_id_replay_duplicates"] == 2
+    assert got["purchase.transaction_id_collision"] == 0
+
+
+def test_partition_without_rows(spark, make_events):
+    headers = spark.createDataFrame(
+        [("20250227", ["event_name"]), ("20250228", ["client_id", "event_name"])],
+        "partition_date string, columns array<string>",
+    )
+    measures = quality.partition_measures(make_events([page()]), partitions=headers)
+    empty = {r.partition_date: r for r in measures.collect()}["20250228"]
+    assert (empty.rows, empty.identity_null_rate, empty.revenue_sum) == (0, 1.0, 0.0)
+    got = {k: r for k, r in results(make_events([page()]), partitions=headers).items()}
+    assert not got[("20250228", "tracking.identity_null_rate")].passed
+    assert got[("20250228", "purchase.integrity.no_purchases")].passed
+
+
+def test_payload_contract(make_events):
+    rows = [
+        purchase("t"),
+        purchase(None),
+        page(event_name="email_filled_on_popup", event_data='{"email":"h"}'),
+        page(event_name="email_filled_on_popup", event_data="{}"),
+    ]
+    got = {
+        (r.event_name, r.field): (r.events, r.missing)
+        for r in quality.payload_contract(make_events(rows)).collect()
+    }
+    assert got == {
+        ("checkout_completed", "transaction_id"): (2, 1),
+        ("checkout_completed", "revenue"): (2, 0),
+        ("checkout_completed", "items"): (2, 0),
+        ("email_filled_on_popup", "email"): (2, 1),
+    }
+
+
+# Known daily profile: identity null rate per day and the header of each day.
+RATES = [
+    0.005405405405405406, 0.014592730167153092, 0.009798270893371758, 0.01447906833090431,
+    0.010020630710285883, 0.00827459393196445, 0.006592146746918888, 0.1580161476355248,
+    0.08683819891142998, 0.0847936687394008, 0.07913918778202013, 0.08280069726902964,
+    0.08305136880959704, 0.1425969294821754,
+]
+DAYS = [f"202502{d}" for d in range(23, 29)] + [f"2025030{d}" for d in range(1, 9)]
+BASE = ["page_url", "timestamp", "event_name", "event_data", "user_agent"]
+
+
+@pytest.fixture
+def known_profile(spark):
+    rows = []
+    for i, (day, rate) in enumerate(zip(DAYS, RATES)):
+        identity = ["client_id"] if i < 4 else ["clientId"]
+        referrer = ["referrer"] if i < 9 else []
+        rows.append((day, 1, identity + referrer + BASE, rate, 1, 1.0))
+    return spark.createDataFrame(
+        rows,
+        "partition_date string, rows long, columns array<string>, identity_null_rate double, "
+        "purchase_count long, revenue_sum double",
+    )
+
+
+def test_known_profile_has_no_drift_failures(known_profile):
+    drift = quality.drift_results(known_profile)
+    assert drift.where(~F.col("passed")).count() == 0
+    top = quality.identity_drift(known_profile).agg(F.max(F.abs("robust_z"))).first()[0]
+    assert top == pytest.approx(2.0, abs=0.01)
+
+
+def test_schema_drift_names_changes(known_profile):
+    rows = {r.partition_date: r for r in quality.schema_drift(known_profile).collect()}
+    assert len(rows) == 13
+    renamed, dropped = rows["20250227"], rows["20250304"]
+    assert (renamed.removed_columns, renamed.added_columns) == (["client_id"], ["clientId"])
+    assert (dropped.removed_columns, dropped.severity, dropped.passed) == (["referrer"], "P1_HIGH", True)
+    worse = quality.schema_drift(known_profile, Contract(required_columns=("never",)))
+    assert {(r.severity, r.passed) for r in worse.collect()} == {("P0_BLOCKER", False)}
+
+
+def test_known_scores_roll_up(spark):
+    scores = [100, 85, 85, 70, 55, 85, 70, 85, 85, 70, 85, 70, 85, 40]
+    failed = [0, 1, 1, 1, 2, 1, 1, 1, 1, 2, 1, 2, 1, 3]
+    blocked = {3, 4, 6, 13}
+    rows = [
+        (d, s, "QUARANTINE" if i in blocked else "WARN", f, int(i in blocked))
+        for i, (d, s, f) in enumerate(zip(DAYS, scores, failed))
+    ]
+    df = spark.createDataFrame(
+        rows, "partition_date string, dq_score long, decision string, failed long, p0_failed long"
+    )
+    row = quality.quality_rollup(df).first()
+    assert (row.partitions, row.failed_checks, row.p0_blockers, row.mean_score, row.p0_days) == (
+        14, 18, 4, 76.4, 4,
+    )
+    got = sorted(r.partition_date for r in quality.blocked_partitions(df).collect())
+    assert got == ["20250226", "20250227", "20250301", "20250308"]
