@@ -39,14 +39,14 @@ def enrich_events(df: DataFrame, rules: TrafficRules = TrafficRules()) -> DataFr
     df = ensure_columns(df, ("page_url", "referrer", "user_agent"))
     wants_channel = not {"channel", "channel_detail"} <= set(df.columns)
     utm = [c for c in UTM_FIELDS if c not in df.columns]
-    out = df.withColumn("_query", web.decoded_query(F.col("page_url")))
-    added = {c: web.query_value(F.col("_query"), c) for c in utm}
-    if "device_type" not in df.columns:
-        added["device_type"] = web.device_type(F.col("user_agent"), rules)
+    out = web.with_query(df, "page_url", "_query")
     if wants_channel:
-        out = out.withColumn("_host", web.network_host(F.col("referrer")))
-        added["_class"] = web.classify_channel(F.col("_query"), F.col("_host"), rules)
-    out = out.withColumns(added)
+        out = out.withColumn("_host", web.network_host(F.col("referrer"))).withColumn(
+            "_class", web.classify_channel(F.col("_query"), F.col("_host"), rules)
+        )
+    if "device_type" not in df.columns:
+        out = out.withColumn("device_type", web.device_type(F.col("user_agent"), rules))
+    out = web.with_query_values(out, "_query", {c: c for c in utm})
     if wants_channel:
         out = out.withColumns(
             {"channel": F.col("_class.channel"), "channel_detail": F.col("_class.detail")}

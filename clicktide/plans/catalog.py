@@ -161,17 +161,17 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("page_channels")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every crawled page as if it were both landing page and referrer."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    url = F.col("url")
-    named = pages.select(
-        "page_id", web.decoded_query(url).alias("query"), web.network_host(url).alias("host")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    named = web.with_query(pages, "url", "query").withColumn("host", web.network_host(F.col("url")))
+    named = web.with_query_values(
+        named, "query", {"utm_source": "utm_source", "page_number": "page"}
     )
     outcome = named.withColumn("class", web.classify_channel(F.col("query"), F.col("host")))
     return outcome.select(
         "page_id",
         "host",
-        web.query_value(F.col("query"), "utm_source").alias("utm_source"),
-        web.query_value(F.col("query"), "page").alias("page_number"),
+        "utm_source",
+        "page_number",
         F.col("class.channel").alias("channel"),
         F.col("class.detail").alias("channel_detail"),
     )

@@ -10,6 +10,9 @@ RUNTIME_CONF = {
     # Splits an oversized join partition (one hot client, transaction or session).
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes; generated code that large would run
+    # interpreted, so such a stage falls back to projections that Spark splits up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Lets the `rebalance` hint of the sinks cut a hot day into several files.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }

@@ -78,8 +78,8 @@ def test_purchase_defects(spark, text, check, clean):
     ],
 )
 def test_utm_value(spark, url, source):
-    got = values(spark, [url], web.query_value(web.decoded_query(F.col("x")), "utm_source"))
-    assert got == [source]
+    df = web.with_query(spark.createDataFrame([(url,)], "x string"), "x", "q")
+    assert web.with_query_values(df, "q", {"v": "utm_source"}).first().v == source
 
 
 @pytest.mark.parametrize(
@@ -117,7 +117,8 @@ def test_network_host(spark, url, host):
 )
 def test_channel_rules(spark, url, referrer, expected):
     df = spark.createDataFrame([(url, referrer)], "u string, r string")
-    outcome = web.classify_channel(web.decoded_query(F.col("u")), web.network_host(F.col("r")))
+    df = web.with_query(df, "u", "q")
+    outcome = web.classify_channel(F.col("q"), web.network_host(F.col("r")))
     assert tuple(df.select(outcome.alias("c")).select("c.*").first()) == expected
 
 
