@@ -3,15 +3,16 @@
 For one client the attributed sessions only change when a session enters the look-back (at its
 start) or leaves it (just after start + look-back). A window per client runs over these change
 points, which are session rows and hence bounded by `time span / session gap`; purchases, which
-one client may own without bound, never enter it. Each change point is valid until the next one;
-its validity is cut into day slots and purchases meet it by an equi-join on (client, day slot)
-plus `valid_from <= t < valid_to`. Every purchase meets at most one interval, so nothing is paired
-twice, and adaptive execution can split a hot client's purchases.
+one client may own without bound, never enter it. Each change point is valid until the next one.
+Purchases meet these intervals by an equi-join on (client, day) plus `valid_from <= t < valid_to`,
+so every purchase meets at most one of them and nothing is paired twice; adaptive execution can
+split a hot client's purchases. An interval is only copied to the days on which its client buys:
+those days, at most one value per day of data, travel with the client's sessions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktide.functions.timing import MICROS_PER_DAY, floor_micros, to_second
@@ -21,21 +22,42 @@ MODELS = ("first_click", "last_click", "last_non_direct")
 ATTRIBUTION_COLUMNS = tuple(f"{m}_{f}" for m in MODELS for f in ("session_id", "channel"))
 
 
-def attribution_states(sessions: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Per client, the three attributed sessions for every interval of time.
+def _day_of(micros: Column) -> Column:
+    return floor_micros(micros, MICROS_PER_DAY)
 
-    Columns: client_id_canonical, valid_from, valid_to (micros, end exclusive), one struct per
-    model. Session starts are cut to the second, both look-back bounds are inclusive and ties go
-    by session id. A null channel counts as non-direct.
+
+def purchase_days(purchases: DataFrame) -> DataFrame:
+    """Per client, the starts (micros) of the days with a purchase."""
+    at = F.unix_micros("purchase_ts")
+    return (
+        purchases.where(F.col("client_id_canonical").isNotNull() & at.isNotNull())
+        .groupBy("client_id_canonical")
+        .agg(F.collect_set(_day_of(at)).alias("buy_days"))
+    )
+
+
+def attribution_states(
+    sessions: DataFrame, buyers: DataFrame, lookback_days: int = LOOKBACK_DAYS
+) -> DataFrame:
+    """Per client and purchase day, the three attributed sessions for every interval of time.
+
+    Columns: client_id_canonical, day_slot, valid_from, valid_to (micros, end exclusive), one
+    struct per model. `buyers` comes from `purchase_days`. Session starts are cut to the second,
+    both look-back bounds are inclusive and ties go by session id. A null channel counts as
+    non-direct.
     """
     span = lookback_days * MICROS_PER_DAY
-    touch = F.struct(
-        F.unix_micros(to_second(F.col("session_start_ts"))).alias("start_us"),
-        "session_id",
-        F.col("landing_channel").alias("channel"),
+    start = F.unix_micros(to_second(F.col("session_start_ts")))
+    touch = F.struct(start.alias("start_us"), "session_id", F.col("landing_channel").alias("channel"))
+    # Sessions outside the look-back of every purchase day cannot matter.
+    relevant = F.exists(
+        "buy_days",
+        lambda day: F.col("touch.start_us").between(day - span, day + MICROS_PER_DAY),
     )
-    starts = sessions.where(F.col("client_id_canonical").isNotNull()).select(
-        "client_id_canonical", touch.alias("touch")
+    starts = (
+        sessions.select("client_id_canonical", touch.alias("touch"))
+        .join(buyers, "client_id_canonical")
+        .where(relevant)
     )
     enters = F.struct(F.col("touch.start_us").alias("at"), F.col("touch").alias("touch"))
     leaves = F.struct(
@@ -43,55 +65,36 @@ def attribution_states(sessions: DataFrame, lookback_days: int = LOOKBACK_DAYS)
         F.when(F.lit(False), F.col("touch")).alias("touch"),
     )
     changes = starts.select(
-        "client_id_canonical", F.explode(F.array(enters, leaves)).alias("change")
-    ).select("client_id_canonical", "change.*")
+        "client_id_canonical", "buy_days", F.inline(F.array(enters, leaves))
+    )
 
     by_time = Window.partitionBy("client_id_canonical").orderBy("at")
     lookback = by_time.rangeBetween(-span, Window.currentRow)
     non_direct = F.when(~F.col("touch.channel").eqNullSafe(F.lit("direct")), F.col("touch"))
-    return (
-        changes.select(
-            "client_id_canonical",
-            F.col("at").alias("valid_from"),
-            F.lead("at").over(by_time).alias("valid_to"),
-            F.min("touch").over(lookback).alias("first_click"),
-            F.max("touch").over(lookback).alias("last_click"),
-            F.max(non_direct).over(lookback).alias("last_non_direct"),
-        )
-        # Change points that share a time leave empty intervals; the last of them carries the state.
-        .where(F.col("first_click").isNotNull() & (F.col("valid_to") > F.col("valid_from")))
+    intervals = changes.select(
+        "client_id_canonical",
+        "buy_days",
+        F.col("at").alias("valid_from"),
+        F.lead("at").over(by_time).alias("valid_to"),
+        F.min("touch").over(lookback).alias("first_click"),
+        F.max("touch").over(lookback).alias("last_click"),
+        F.max(non_direct).over(lookback).alias("last_non_direct"),
+        # Change points that share a time leave empty intervals; the last one carries the state.
+    ).where(F.col("first_click").isNotNull() & (F.col("valid_to") > F.col("valid_from")))
+    overlapping = F.filter(
+        "buy_days",
+        lambda day: (day < F.col("valid_to")) & (day + MICROS_PER_DAY > F.col("valid_from")),
     )
+    return intervals.withColumn("day_slot", F.explode(overlapping)).drop("buy_days")
 
 
 def attribute_purchases(
-    purchases: DataFrame,
-    sessions: DataFrame,
-    lookback_days: int = LOOKBACK_DAYS,
-    buyers: DataFrame | None = None,
+    purchases: DataFrame, sessions: DataFrame, lookback_days: int = LOOKBACK_DAYS
 ) -> DataFrame:
-    """Purchases plus session id and channel of the first, last and last non-direct session.
-
-    `buyers` (a frame with `client_id_canonical`) may name the purchasing clients when they are
-    cheaper to get than from `purchases`; only their sessions are needed.
-    """
-    clients = (
-        (purchases if buyers is None else buyers)
-        .select("client_id_canonical")
-        .where(F.col("client_id_canonical").isNotNull())
-        .distinct()
-    )
+    """Purchases plus session id and channel of the first, last and last non-direct session."""
     states = attribution_states(
-        sessions.join(clients, "client_id_canonical", "left_semi"), lookback_days
-    )
-    # An interval is no longer than the look-back, so it spans at most lookback_days + 1 day slots.
-    slots = F.sequence(
-        floor_micros(F.col("valid_from"), MICROS_PER_DAY),
-        floor_micros(F.col("valid_to") - 1, MICROS_PER_DAY),
-        F.lit(MICROS_PER_DAY),
-    )
-    states = states.withColumn("day_slot", F.explode(slots)).withColumnRenamed(
-        "client_id_canonical", "state_client"
-    )
+        sessions, purchase_days(purchases), lookback_days
+    ).withColumnRenamed("client_id_canonical", "state_client")
     # Purchases without a client match nothing; a hash as their slot spreads them over all tasks.
     at = F.unix_micros("purchase_ts")
     spread = F.xxhash64("transaction_id", "purchase_ts", "session_id")
@@ -99,7 +102,7 @@ def attribute_purchases(
     timed = purchases.withColumns(
         {
             "_at": at,
-            "_slot": F.when(has_key, floor_micros(at, MICROS_PER_DAY)).otherwise(spread),
+            "_slot": F.when(has_key, _day_of(at)).otherwise(spread),
         }
     )
     joined = timed.join(

@@ -82,12 +82,13 @@ COLUMNS = {
 
 
 def spread(scan: DataFrame, key: str = "event_id") -> DataFrame:
-    """Cut a scan with fewer splits than cores (one small file) into one part per core.
+    """Cut a scan of a single split (one small file) into one part per core.
 
-    A large table has more splits than cores and stays as it is.
+    Anything larger stays as it is.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+    if scan.rdd.getNumPartitions() > 1:
+        return scan
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,9 +121,7 @@ def transformation_job(
         "purchases",
     )
     attribution = _keep(
-        attribute_purchases(
-            purchases, sessions, lookback_days, buyers=purchase_events(prepared)
-        ),
+        attribute_purchases(purchases, sessions, lookback_days),
         folder,
         "purchase_attribution",
     )
