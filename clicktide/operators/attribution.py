@@ -59,28 +59,60 @@ def attribution_states(
         .join(buyers, "client_id_canonical")
         .where(relevant)
     )
-    enters = F.struct(F.col("touch.start_us").alias("at"), F.col("touch").alias("touch"))
+    in_order = Window.partitionBy("client_id_canonical").orderBy("touch")
+    nothing = F.when(F.lit(False), F.col("touch"))
+    enters = F.struct(
+        F.col("touch.start_us").alias("at"),
+        F.col("touch").alias("entered"),
+        nothing.alias("left"),
+        nothing.alias("after_left"),
+    )
     leaves = F.struct(
         (F.col("touch.start_us") + span + 1).alias("at"),
-        F.when(F.lit(False), F.col("touch")).alias("touch"),
+        nothing.alias("entered"),
+        F.col("touch").alias("left"),
+        F.col("next").alias("after_left"),
     )
-    changes = starts.select(
+    changes = starts.withColumn("next", F.lead("touch").over(in_order)).select(
         "client_id_canonical", "buy_days", F.inline(F.array(enters, leaves))
     )
 
+    # Running extremes over all changes so far; a touch counts while it is inside the look-back.
     by_time = Window.partitionBy("client_id_canonical").orderBy("at")
-    lookback = by_time.rangeBetween(-span, Window.currentRow)
-    non_direct = F.when(~F.col("touch.channel").eqNullSafe(F.lit("direct")), F.col("touch"))
-    intervals = changes.select(
-        "client_id_canonical",
-        "buy_days",
-        F.col("at").alias("valid_from"),
-        F.lead("at").over(by_time).alias("valid_to"),
-        F.min("touch").over(lookback).alias("first_click"),
-        F.max("touch").over(lookback).alias("last_click"),
-        F.max(non_direct).over(lookback).alias("last_non_direct"),
+    so_far = by_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    entered, at = F.col("entered"), F.col("at")
+    non_direct = F.when(~entered.getField("channel").eqNullSafe(F.lit("direct")), entered)
+    gone = F.when(F.col("left").isNotNull(), F.struct("left", "after_left"))
+
+    def inside(touch: str) -> Column:
+        return F.when(F.col(f"{touch}.start_us").between(at - span, at), F.col(touch))
+
+    intervals = (
+        changes.select(
+            "client_id_canonical",
+            "buy_days",
+            "at",
+            F.lead("at").over(by_time).alias("valid_to"),
+            F.min(entered).over(so_far).alias("oldest"),
+            F.max(gone).over(so_far).alias("gone"),
+            F.max(entered).over(so_far).alias("last_click"),
+            F.max(non_direct).over(so_far).alias("last_non_direct"),
+        )
+        # The oldest session inside follows the last one that left.
+        .withColumn(
+            "first_click",
+            F.when(F.col("gone").isNull(), F.col("oldest")).otherwise(F.col("gone.after_left")),
+        )
+        .select(
+            "client_id_canonical",
+            "buy_days",
+            at.alias("valid_from"),
+            "valid_to",
+            *[inside(m).alias(m) for m in MODELS],
+        )
         # Change points that share a time leave empty intervals; the last one carries the state.
-    ).where(F.col("first_click").isNotNull() & (F.col("valid_to") > F.col("valid_from")))
+        .where(F.col("first_click").isNotNull() & (F.col("valid_to") > F.col("valid_from")))
+    )
     overlapping = F.filter(
         "buy_days",
         lambda day: (day < F.col("valid_to")) & (day + MICROS_PER_DAY > F.col("valid_from")),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.functions.payload import invalid_purchase_clean, parse_payload, purchase_columns
+from clicktide.operators.purchases import purchase_events
 from clicktide.operators.shaping import canonical_identity, ensure_columns, with_event_ts
 from clicktide.settings import PURCHASE_EVENT, RAW_EVENT_COLUMNS
 
@@ -52,11 +53,16 @@ def annotate_quarantine(
     place = F.struct(
         F.coalesce(F.unix_micros("ts"), F.lit(_LAST)).alias("at"), F.col(tie_break).alias("tie")
     )
-    valid = flagged.where(is_purchase & ~F.col("_invalid")).withColumn("_place", place)
+    # `purchase_events` is a plain comparison, which reaches the scan.
+    valid = purchase_events(flagged).where(~F.col("_invalid")).withColumn("_place", place)
+    # Rows of files without a date are one partition of their own.
+    scoped = {f"_in_{c}": F.coalesce(F.col(c).cast("string"), F.lit("")) for c in scope}
+    valid = valid.withColumns(scoped) if scoped else valid
+    keys = [*scoped, "_tx"]
     verdicts = (
-        valid.groupBy(*scope, "_tx", p["payload_hash"].alias("_hash"))
+        valid.groupBy(*keys, p["payload_hash"].alias("_hash"))
         .agg(F.count(F.lit(1)).alias("copies"), F.min("_place").alias("first"))
-        .groupBy(*scope, "_tx")
+        .groupBy(*keys)
         .agg(
             (F.count(F.lit(1)) > 1).alias("_collided"),
             F.max("copies").alias("copies"),
@@ -66,11 +72,11 @@ def annotate_quarantine(
         .where(F.col("_collided") | (F.col("copies") > 1))
         .drop("copies")
     )
-    judged = valid.join(verdicts, [*scope, "_tx"], "left").withColumn(
+    judged = valid.join(verdicts, keys, "left").withColumn(
         "quarantine_reason",
         F.when(F.col("_collided"), COLLISION).when(F.col("_place") > F.col("_kept"), REPLAY),
     )
-    return settled.drop(*_WORK).unionByName(judged.drop(*_WORK))
+    return settled.drop(*_WORK).unionByName(judged.drop(*_WORK, *scoped))
 
 
 def cleaned(annotated: DataFrame) -> DataFrame:

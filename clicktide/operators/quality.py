@@ -48,6 +48,13 @@ def _present_columns(events: DataFrame, contract: Contract) -> Column:
     return F.array_compact(F.array(*present))
 
 
+def _left_join_partition(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Join two per-partition tables; rows of files without a date are one partition."""
+    renamed = right.withColumnRenamed(PARTITION, "_partition")
+    same = F.col(PARTITION).eqNullSafe(F.col("_partition"))
+    return left.join(renamed, same, "left").drop("_partition")
+
+
 def partition_measures(
     events: DataFrame,
     contract: Contract = Contract(),
@@ -83,7 +90,7 @@ def partition_measures(
     )
     if partitions is not None:
         headers = partitions.select(PARTITION, F.col("columns").alias("_columns"))
-        stats = headers.join(stats, PARTITION, "left").withColumn(
+        stats = _left_join_partition(headers, stats).withColumn(
             "columns", F.coalesce("columns", "_columns")
         )
     counts = [name for name in measures if name != "revenue_sum"]
@@ -348,7 +355,7 @@ def check_results(
     measures: DataFrame, duplicates: DataFrame, contract: Contract = Contract()
 ) -> DataFrame:
     """All checks of all partitions, one row each."""
-    joined = measures.join(duplicates, PARTITION, "left").fillna(
+    joined = _left_join_partition(measures, duplicates).fillna(
         0, subset=["collision_count", "replay_event_rows"]
     )
     checks = F.concat(F.array(*_row_checks(contract)), _purchase_checks())

@@ -82,6 +82,15 @@ def test_scope_is_the_partition_unless_widened(make_events):
     assert set(reasons(make_events([a, b]), scope=()).values()) == {COLLISION}
 
 
+def test_files_without_a_date_are_one_partition(make_events):
+    events = make_events([purchase("t", second=1), purchase("t", second=2)]).withColumn(
+        "partition_date", F.lit(None).cast("string")
+    )
+    assert reasons(events) == {0: None, 1: REPLAY}
+    got = {k[1]: r.measure for k, r in results(events).items()}
+    assert got["purchase.transaction_id_replay_duplicates"] == 2
+
+
 def test_replay_without_a_time_comes_last(make_events):
     events = make_events(
         [purchase("t", timestamp="x", partition_date="20250227"), purchase("t")]
