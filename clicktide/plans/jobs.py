@@ -37,8 +37,8 @@ from clicktide.operators.sessions import (
 from clicktide.operators.shaping import prepare_events
 from clicktide.settings import Contract, LandingRules, TrafficRules
 from clicktide.sources.tables import (
-    read_by_partition,
     stage,
+    store_annotated,
     write_by_partition,
     write_json,
     write_table,
@@ -77,22 +77,29 @@ def quality_job(
 
 
 def cleaning_job(events: DataFrame, folder: str | None = None) -> dict[str, DataFrame]:
-    """Clean and quarantined events, summary and manifest."""
+    """Clean and quarantined events, summary and manifest.
+
+    With a folder, both sides are written in one pass and read from their own subfolders.
+    """
     annotated = annotate_quarantine(events)
-    if folder is not None:
-        write_by_partition(annotated, f"{folder}/annotated")
-        annotated = read_by_partition(events.sparkSession, f"{folder}/annotated")
+    if folder is None:
+        sides = {"cleaned": cleaned(annotated), "quarantined": quarantined(annotated)}
+    else:
+        annotated = store_annotated(annotated, f"{folder}/events")
+        status = F.col("status")
+        sides = {
+            "cleaned": cleaned(annotated.where(status == "clean")).drop("status"),
+            "quarantined": annotated.where(status == "quarantine").drop("status"),
+        }
+        annotated = annotated.drop("status")
     summary = cleaning_summary(annotated)
     tables = {
         "annotated": annotated,
-        "cleaned": cleaned(annotated),
-        "quarantined": quarantined(annotated),
+        **sides,
         "summary": summary,
         "manifest": cleaning_manifest(summary),
     }
     if folder is not None:
-        write_by_partition(tables["cleaned"], f"{folder}/cleaned")
-        write_by_partition(tables["quarantined"], f"{folder}/quarantine")
         write_json(tables["manifest"], f"{folder}/manifest")
     return tables
 

@@ -13,7 +13,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.operators.cleaning import cleaned, quarantined
 from clicktide.settings import Contract
 
 
@@ -26,12 +25,14 @@ def read_table(spark: SparkSession, path: str, format: str = "parquet") -> DataF
 
 
 def write_by_partition(
-    df: DataFrame, path: str, partition: str = "partition_date", format: str = "parquet"
+    df: DataFrame, path: str, *partitions: str, format: str = "parquet"
 ) -> str:
-    """Write one folder per day. `rebalance` keeps files sensible and splits a hot day."""
-    df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).format(
-        format
-    ).save(path)
+    """Write one folder per partition value, by default per day.
+
+    `rebalance` keeps files sensible: small days make few, a hot day is cut into several.
+    """
+    keys = partitions or ("partition_date",)
+    df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).format(format).save(path)
     return path
 
 
@@ -56,10 +57,15 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_clean_and_quarantine(annotated: DataFrame, clean_path: str, quarantine_path: str) -> None:
-    """Both sides of the quarantine, each partitioned by day."""
-    write_by_partition(cleaned(annotated), clean_path)
-    write_by_partition(quarantined(annotated), quarantine_path)
+def store_annotated(annotated: DataFrame, path: str) -> DataFrame:
+    """Write clean and quarantined rows in one pass, as `status=clean|quarantine` by day.
+
+    Returns the stored table; `cleaned` and `quarantined` of it read only their own folders when
+    `status` is filtered.
+    """
+    status = F.when(F.col("quarantine_reason").isNull(), "clean").otherwise("quarantine")
+    write_by_partition(annotated.withColumn("status", status), path, "status", "partition_date")
+    return read_by_partition(annotated.sparkSession, path)
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

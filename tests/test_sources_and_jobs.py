@@ -85,8 +85,11 @@ def test_all_jobs_over_a_folder(spark, folder, tmp_path):
     cleaning = jobs.cleaning_job(events, folder=f"{out}/cleaning")
     summary = {r.partition_date: (r.clean_rows, r.quarantine_rows) for r in cleaning["summary"].collect()}
     assert summary == {"20250223": (3, 1), "20250224": (2, 0)}
-    stored = tables.read_by_partition(spark, f"{out}/cleaning/quarantine")
+    stored = tables.read_by_partition(spark, f"{out}/cleaning/events/status=quarantine")
     assert [r.quarantine_reason for r in stored.collect()] == ["invalid_purchase_fields_or_revenue"]
+    assert cleaning["quarantined"].count() == 1 and cleaning["cleaned"].count() == 5
+    scan = cleaning["cleaned"]._jdf.queryExecution().executedPlan().toString()
+    assert "status" in scan[scan.index("PartitionFilters") :][:200]
 
     made = jobs.transformation_job(cleaning["cleaned"], folder=f"{out}/transform")
     recon = made["reconciliation"].first()
