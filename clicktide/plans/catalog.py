@@ -493,13 +493,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("metric_baselines")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = monitoring.metric_baselines(_metrics(_prepared(spark, sf_dir)))
-    return _rounded(base, 4, "value", "baseline_median", "mad", "robust_z")
+    return _rounded(_rounded(base, 6, "value", "baseline_median", "mad"), 7, "robust_z")
 
 
 @query("alerts")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = monitoring.detect_alerts(_metrics(_prepared(spark, sf_dir)))
-    return _rounded(rows, 4, "value", "baseline_median", "mad", "robust_z", "relative_change")
+    rows = _rounded(rows, 6, "value", "baseline_median", "mad")
+    return _rounded(rows, 7, "robust_z", "relative_change")
 
 
 @query("monitoring_report")

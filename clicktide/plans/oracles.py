@@ -28,26 +28,28 @@ def _host(url: str) -> str:
 _QUERY = "coalesce(regexp_extract({0}, '^[^?#]*\\?([^#]*)', 1), '')"
 
 
-def _channel(paid: str, social: str, search: str, network: str, other: str, tagged: str, none: str) -> str:
+def _channel(
+    paid: str, social: str, search: str, network: str, other: str, redirect: str, tagged: str, none: str
+) -> str:
     return f"""CASE
     WHEN regexp_matches(q, '(^|&)(gclid|gbraid|wbraid|msclkid)=[^&]') THEN {paid}
     WHEN regexp_matches(q, '(^|&)(fbclid|ttclid|igshid)=[^&]') THEN {social}
     WHEN regexp_matches(host, 'google\\.|bing\\.|yahoo\\.|duckduckgo\\.|baidu\\.|ecosia\\.') THEN {search}
     WHEN regexp_matches(host, 'facebook\\.|instagram\\.|tiktok\\.|pinterest\\.|snapchat\\.|reddit\\.|x\\.com|twitter\\.')
       THEN {network}
-    WHEN host LIKE 'source-%.com' THEN {tagged.split('|')[0]}
+    WHEN host LIKE 'source-%.com' THEN {redirect}
     WHEN host <> '' AND NOT contains(host, 'shop.example.com') THEN {other}
-    WHEN regexp_matches(q, '(^|&)utm_[^&=]*=[^&]') THEN {tagged.split('|')[1]}
+    WHEN regexp_matches(q, '(^|&)utm_[^&=]*=[^&]') THEN {tagged}
     ELSE {none} END"""
 
 
 _CHANNEL = _channel(
     "'paid_search'", "'paid_social'", "'organic_search'", "'organic_social'", "'referral'",
-    "'unknown_paid'|'unknown_paid'", "'direct'",
+    "'unknown_paid'", "'unknown_paid'", "'direct'",
 )
 _DETAIL = _channel(
     "'click_id'", "'click_id'", "host", "host", "host",
-    "'redirect_domain'|'utm_present'", "'no_referrer'",
+    "'redirect_domain'", "'utm_present'", "'no_referrer'",
 )
 
 _COLUMNS = ("clientId", "client_id", "event_data", "event_name", "page_url", "referrer",
@@ -510,11 +512,11 @@ ORACLES: dict[str, str] = {
     round(sum(CASE WHEN landing_channel LIKE '%direct%' THEN coalesce(sessions, 0) ELSE 0 END)
       / greatest(coalesce(sum(sessions), 0), 1), 6) AS direct_session_share FROM funnel GROUP BY 1"""),
     "daily_metrics": _sql(f"SELECT {_METRIC_COLUMNS} FROM metrics"),
-    "metric_baselines": _sql("""SELECT day, metric, round(value, 4) AS value,
-    round(baseline_median, 4) AS baseline_median, round(mad, 4) AS mad, round(robust_z, 4) AS robust_z
+    "metric_baselines": _sql("""SELECT day, metric, round(value, 6) AS value,
+    round(baseline_median, 6) AS baseline_median, round(mad, 6) AS mad, round(robust_z, 7) AS robust_z
     FROM baselines"""),
-    "alerts": _sql("""SELECT day, metric, round(value, 4) AS value, round(baseline_median, 4) AS baseline_median,
-    round(mad, 4) AS mad, round(robust_z, 4) AS robust_z, round(relative_change, 4) AS relative_change, severity,
+    "alerts": _sql("""SELECT day, metric, round(value, 6) AS value, round(baseline_median, 6) AS baseline_median,
+    round(mad, 6) AS mad, round(robust_z, 7) AS robust_z, round(relative_change, 7) AS relative_change, severity,
     message FROM alerted"""),
     "monitoring_report": _sql(f"""SELECT {_METRIC_COLUMNS}, coalesce(alerts, 0) AS alerts,
     coalesce(blocker_alerts, 0) AS blocker_alerts FROM metrics LEFT JOIN (SELECT day, count(*) AS alerts,
