@@ -57,7 +57,7 @@ def ascii_lower(text: Column | str) -> Column:
 
 def space_words(text: Column) -> Column:
     """The runs of characters between ASCII white space; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
 def text_blocks(batch: pa.RecordBatch, column: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -2,4 +2,65 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from clicktide.llm.quality_rules import STOP_WORDS
+
+STOP = ", ".join(f"'{w}'" for w in sorted({w for words in STOP_WORDS.values() for w in words.split()}))
+
+OP3 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), m AS (
+  SELECT *, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         CAST(len(list_filter(words, lambda w: lower(w) IN ({STOP}))) AS BIGINT) AS n_stop_words
+  FROM d
+), g AS (
+  SELECT rn, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS t
+  FROM (SELECT rn, words, unnest(range(1, n_words - 1)) AS i FROM m)
+), r AS (
+  SELECT rn, count(DISTINCT i + k) AS n
+  FROM (SELECT rn, i, count(*) OVER (PARTITION BY rn, t) AS c FROM g), (VALUES (0), (1), (2)) v(k)
+  WHERE c > 1 GROUP BY rn
+), f AS (
+  SELECT doc_id, n_words, word_chars, n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, n_stop_words, len(lines) AS n_lines
+  FROM m LEFT JOIN r USING (rn)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words
+         AND word_chars >= 3 * n_words AND word_chars <= 10 * n_words
+         AND CAST(n_symbols AS DOUBLE) / n_words <= 0.1 AND CAST(n_stop_words AS DOUBLE) / n_words >= 0.06
+         AND CAST(n_dup_lines AS DOUBLE) / n_lines <= 0.5 AS kept,
+       n_stop_words
+FROM f
+"""
+
+OP5 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), t AS (
+  SELECT *, 12 + length(replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&nl;')) + 1
+            + length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|')) + 11 AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+         count(*) OVER (PARTITION BY conv_id) AS n
+  FROM c
+), s AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY place) AS upto FROM t
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (role = 'assistant' OR place = n) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op3_quality_rules": OP3, "op5_chat_formatting": OP5}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import binary_ids, packing, token_counts
+from clicktide.llm import binary_ids, chat, packing, quality_rules, token_counts
 from clicktide.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,25 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), into="q")
+    failed = quality_rules.base_failed(F.col("q"))
+    return judged.select(
+        "doc_id",
+        *[f"q.{k}" for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        failed.alias("base_failed"),
+        (~failed & F.col("q.kept")).alias("kept"),
+        "q.n_stop_words",
+    )
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], conversations.schema)
+    return chat.digest(chat.prefix_targets(conversations.unionByName(more)))
+
+
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_ids.ids_query(spark, table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -29,6 +48,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_token_ids": op6_token_ids,
     "op7_token_counts": op7_token_counts,
 }
