@@ -6,6 +6,41 @@ from clicktide.llm.quality_rules import STOP_WORDS
 
 STOP = ", ".join(f"'{w}'" for w in sorted({w for words in STOP_WORDS.values() for w in words.split()}))
 
+OP2 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+), iw AS (
+  SELECT item, least(len(words), 10) AS n, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i, words
+  FROM b WHERE len(words) > 0
+), windows AS (
+  SELECT DISTINCT item, n, array_to_string(words[i : i + n - 1], ' ') AS w FROM iw
+), sizes AS (
+  SELECT DISTINCT n FROM windows
+), dw AS (
+  SELECT rn, n, unnest(range(1, len(words) - n + 2)) AS i, words FROM d, sizes WHERE len(words) >= n
+), hits AS (
+  SELECT rn, i, dw.n, item FROM dw JOIN windows ON dw.n = windows.n AND array_to_string(words[i : i + dw.n - 1], ' ') = w
+), covered AS (
+  SELECT rn, count(DISTINCT p) AS n_hit
+  FROM (SELECT rn, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT rn, i, n FROM hits)) GROUP BY rn
+), items AS (
+  SELECT rn, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
+  FROM (SELECT DISTINCT rn, item FROM hits) GROUP BY rn
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(joined, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (rn) LEFT JOIN items USING (rn)
+"""
+
 OP3 = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text,
@@ -63,4 +98,4 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op3_quality_rules": OP3, "op5_chat_formatting": OP5}
+ORACLES: dict[str, str] = {"op2_decontamination": OP2, "op3_quality_rules": OP3, "op5_chat_formatting": OP5}

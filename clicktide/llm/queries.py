@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import binary_ids, chat, packing, quality_rules, token_counts
+from clicktide.llm import binary_ids, chat, decontaminate, packing, quality_rules, token_counts
 from clicktide.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.digest(decontaminate.find(documents, table(spark, sf_dir, "benchmark"), window=10))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), into="q")
     failed = quality_rules.base_failed(F.col("q"))
@@ -48,6 +53,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_ids": op6_token_ids,
