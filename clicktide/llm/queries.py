@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import binary_ids, chat, decontaminate, packing, quality_rules, token_counts
+from clicktide.llm import binary_ids, chat, decontaminate, packing, quality_rules, simhash, token_counts
 from clicktide.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.limit_table(token_counts.length_histogram(table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -58,4 +62,5 @@ QUERIES = {
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_ids": op6_token_ids,
     "op7_token_counts": op7_token_counts,
+    "op8_simhash": op8_simhash,
 }
