@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import binary_ids, chat, decontaminate, packing, quality_rules, simhash, token_counts
-from clicktide.llm.common import table
+from clicktide.llm import binary_ids, chat, decontaminate, language, packing, quality_rules, simhash, token_counts, toxicity
+from clicktide.llm.common import store, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -48,13 +48,38 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.limit_table(token_counts.length_histogram(table(spark, sf_dir, "documents"), BYTE_BPE))
+    counted = token_counts.length_histogram(table(spark, sf_dir, "documents"), BYTE_BPE)
+    return token_counts.limit_table(store(counted))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
 
+def remainder(doc_id: str, parts: int) -> Column:
+    """crc32 of the id as text, modulo; null for a null id."""
+    return F.crc32(F.encode(F.col(doc_id).cast("string"), "utf-8")) % parts
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learnable = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    model = toxicity.fit(documents, learnable)
+    scored = toxicity.score(documents, model)
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language.learn(documents.where(remainder("doc_id", 4) != 2))
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    found = language.identify(documents.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -63,4 +88,6 @@ QUERIES = {
     "op6_token_ids": op6_token_ids,
     "op7_token_counts": op7_token_counts,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
+    "op10_language": op10_language,
 }
