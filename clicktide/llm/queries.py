@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import binary_ids, chat, decontaminate, language, packing, quality_rules, simhash, token_counts, toxicity
+from clicktide.llm import binary_ids, chat, decontaminate, language, packing, pii, quality_rules, simhash, token_counts, toxicity
 from clicktide.llm.common import store, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +36,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -84,6 +88,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
     "op3_quality_rules": op3_quality_rules,
+    "op4_pii": op4_pii,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_token_ids": op6_token_ids,
     "op7_token_counts": op7_token_counts,
