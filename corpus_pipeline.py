@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from clicktide.llm import common, decontaminate, packing, pii, quality_rules, queries, simhash
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """n_chars as the length of the text, after a stage that changes texts."""
+    return docs.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: documents that a rule rejects go."""
     judged = quality_rules.judge(docs, into="__quality")
@@ -28,12 +33,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: passages of test items go, with their document if they cover more than half of it."""
-    return decontaminate.clean(docs, common.table(spark, sf_dir, "benchmark"), window=10, most_covered=0.5)
+    return counted(decontaminate.clean(docs, common.table(spark, sf_dir, "benchmark"), window=10, most_covered=0.5))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: spans of personal data are replaced by their kind."""
-    return pii.redact(docs)
+    return counted(pii.redact(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
