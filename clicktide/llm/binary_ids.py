@@ -197,20 +197,31 @@ def write_shards(
         width = tokens.encoder(tokenizer).dtype.str
         manifest: list[tuple[int, int, int, int]] = []
 
+        held = 0
+
         def close() -> None:
-            nonlocal shard, names, lengths, ids
+            nonlocal shard, names, lengths, ids, held
             if names:
                 ends = np.cumsum(np.concatenate(lengths))
                 put(folder, f"ids-{partition:06d}-{shard:06d}.efids", shard_bytes(partition, shard, names, ends, ids, width))
                 manifest.append((partition, shard, len(names), int(ends[-1])))
-                shard, names, lengths, ids = shard + 1, [], [], []
+                shard, names, lengths, ids, held = shard + 1, [], [], [], 0
 
         for block, found, sizes in tokens.encoded(batches, tokenizer, 1):
-            if sum(map(len, ids)) + len(found) > shard_ids:
-                close()
-            names += block.column(0).to_pylist()
-            ids.append(np.insert(found, np.cumsum(sizes), found.dtype.type(end_id)))
-            lengths.append(sizes + 1)
+            found = np.insert(found, np.cumsum(sizes), found.dtype.type(end_id))
+            docs, sizes = block.column(0).to_pylist(), sizes + 1
+            bounds, at = np.concatenate([[0], np.cumsum(sizes)]), 0
+            while at < len(docs):
+                to = int(np.searchsorted(bounds, bounds[at] + shard_ids - held, "right")) - 1
+                if to <= at and held:
+                    close()
+                    continue
+                to = max(to, at + 1)
+                names += docs[at:to]
+                ids.append(found[bounds[at] : bounds[to]])
+                lengths.append(sizes[at:to])
+                held += int(bounds[to] - bounds[at])
+                at = to
         close()
         yield pa.RecordBatch.from_arrays(
             [pa.array([m[k] for m in manifest], pa.int64()) for k in range(4)], ["partition", "shard", "n_docs", "n_ids"]

@@ -222,9 +222,12 @@ FOUND = T.StructType(
 
 def find(documents: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", into: str = "found",
          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """All rows and columns with a struct `into`: n_words, spans (disjoint, in words, half-open) and items."""
+    """All rows and columns with a struct `into`: n_words, spans (disjoint, in words, half-open) and items.
+
+    A column that is called `into` already gives way.
+    """
     spark = documents.sparkSession
-    out = documents
+    out = documents.drop(into)
     for number, scanner in enumerate(scanners(benchmark, window, item_id, item_text)):
         sent = spark.sparkContext.broadcast(scanner)
         column = into if not number else f"{into}_{number}"
