@@ -42,11 +42,6 @@ def share_of(part: Column, condition: Column, floor: float = 1.0) -> Column:
     return chosen / F.greatest(F.coalesce(F.sum(part), F.lit(0)), F.lit(floor))
 
 
-def mean_flag(condition: Column) -> Column:
-    """Share of rows that meet a condition (null counts as no)."""
-    return F.avg(F.coalesce(condition, F.lit(False)).cast("int"))
-
-
 def mentions(text: Column, pattern: str) -> Column:
     """Case-insensitive pattern match; null is no match."""
     return F.coalesce(F.lower(text).rlike(pattern), F.lit(False))

@@ -32,7 +32,3 @@ def floor_micros(micros: Column, width: int) -> Column:
 
 def to_second(ts: Column) -> Column:
     return F.date_trunc("second", ts)
-
-
-def seconds_between(later: Column, earlier: Column) -> Column:
-    return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(float(MICROS_PER_SECOND))

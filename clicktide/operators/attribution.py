@@ -121,11 +121,17 @@ def attribution_states(
 
 
 def attribute_purchases(
-    purchases: DataFrame, sessions: DataFrame, lookback_days: int = LOOKBACK_DAYS
+    purchases: DataFrame,
+    sessions: DataFrame,
+    lookback_days: int = LOOKBACK_DAYS,
+    buyers: DataFrame | None = None,
 ) -> DataFrame:
-    """Purchases plus session id and channel of the first, last and last non-direct session."""
+    """Purchases plus session id and channel of the first, last and last non-direct session.
+
+    `buyers` (see `purchase_days`) may come from rows that are cheaper to read than `purchases`.
+    """
     states = attribution_states(
-        sessions, purchase_days(purchases), lookback_days
+        sessions, purchase_days(purchases) if buyers is None else buyers, lookback_days
     ).withColumnRenamed("client_id_canonical", "state_client")
     # Purchases without a client match nothing; a hash as their slot spreads them over all tasks.
     at = F.unix_micros("purchase_ts")

@@ -20,11 +20,17 @@ def sessions_by_segment(sessions: DataFrame) -> DataFrame:
 
 
 def purchases_by_segment(purchases: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Distinct transactions and revenue by purchase day and the session's channel and device."""
-    segment = sessions.select("session_id", "landing_channel", "device_type")
+    """Distinct transactions and revenue by purchase day and the session's channel and device.
+
+    Purchases that carry the facts of their session need no join with the sessions.
+    """
+    if {"landing_channel", "landing_device"} <= set(purchases.columns):
+        known = purchases.withColumnRenamed("landing_device", "device_type")
+    else:
+        segment = sessions.select("session_id", "landing_channel", "device_type")
+        known = purchases.join(segment, "session_id", "left")
     return (
-        purchases.join(segment, "session_id", "left")
-        .groupBy(day_text(F.col("purchase_ts")).alias("day"), "landing_channel", "device_type")
+        known.groupBy(day_text(F.col("purchase_ts")).alias("day"), "landing_channel", "device_type")
         .agg(
             F.count_distinct("transaction_id").alias("purchases"),
             F.coalesce(F.sum("revenue"), F.lit(0.0)).alias("revenue"),

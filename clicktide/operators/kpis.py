@@ -179,13 +179,19 @@ def new_vs_returning(
     return _conversion(with_purchase_flag(typed, purchases), "user_type")
 
 
-def minutes_to_purchase(purchases: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Purchases with the time since their session's start; without a session, left out."""
-    starts = sessions.select("session_id", F.col("session_start_ts").alias("_start"))
+def minutes_to_purchase(purchases: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+    """Purchases with the time since their session's start; without a session, left out.
+
+    Purchases that carry `session_start_ts` need no join with the sessions.
+    """
+    if "session_start_ts" in purchases.columns:
+        known = purchases.withColumnRenamed("session_start_ts", "_start")
+    else:
+        starts = sessions.select("session_id", F.col("session_start_ts").alias("_start"))
+        known = purchases.join(starts, "session_id", "left")
     micros = F.unix_micros("purchase_ts") - F.unix_micros("_start")
     return (
-        purchases.join(starts, "session_id", "left")
-        .withColumn("micros_to_purchase", micros)
+        known.withColumn("micros_to_purchase", micros)
         .where(F.col("micros_to_purchase").isNotNull())
         .withColumn(
             "minutes_to_purchase", F.col("micros_to_purchase") / F.lit(float(MICROS_PER_MINUTE))

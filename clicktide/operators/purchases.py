@@ -14,8 +14,17 @@ def purchase_events(events: DataFrame, event: str = PURCHASE_EVENT) -> DataFrame
     return events.where(F.col("event_name") == event)
 
 
-def extract_purchases(sessionized: DataFrame, event: str = PURCHASE_EVENT) -> DataFrame:
-    """Purchase table; a malformed payload gives null fields instead of failing the job."""
+# What purchases may carry of their session, so that no join has to fetch it again.
+SESSION_FACTS = ("session_start_ts", "landing_channel", "landing_device")
+
+
+def extract_purchases(
+    sessionized: DataFrame, event: str = PURCHASE_EVENT, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Purchase table; a malformed payload gives null fields instead of failing the job.
+
+    `keep` names columns to carry along, for instance SESSION_FACTS.
+    """
     rows = with_event_ts(purchase_events(sessionized, event)).withColumn(
         "_payload", parse_payload(F.col("event_data"))
     )
@@ -28,4 +37,5 @@ def extract_purchases(sessionized: DataFrame, event: str = PURCHASE_EVENT) -> Da
         field(payload, "revenue", "double").alias("revenue"),
         field(payload, "user_email", "string").alias("user_email"),
         items_json(payload).alias("items_json"),
+        *keep,
     )

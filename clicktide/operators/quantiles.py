@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 # Width of a coarse bin in microseconds, about 17 s: a year has under 2 million bins, and one bin
 # holds at most 2^24 distinct values.
 BIN_BITS = 24
+# Bins of a span, 4096: a year has a few hundred spans.
+SPAN_BITS = 12
 
 
 def exact_quantiles(
@@ -29,13 +31,26 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bin", F.shiftright("v", BIN_BITS))
     )
-    by_bin = Window.partitionBy(F.lit(1)).orderBy("bin")
-    running = by_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = (
+    # Running sums in two levels: over the few spans of SPAN_BITS bins, then within each span.
+    counted = (
         values.groupBy("bin")
         .agg(F.sum("n").alias("bin_n"))
-        .withColumn("bin_end", F.sum("bin_n").over(running))
-        .withColumn("total", F.sum("bin_n").over(Window.partitionBy(F.lit(1))))
+        .withColumn("span", F.shiftright("bin", SPAN_BITS))
+    )
+    spans = counted.groupBy("span").agg(F.sum("bin_n").alias("span_n"))
+    earlier = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("span").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    spans = spans.select(
+        "span",
+        F.coalesce(F.sum("span_n").over(earlier), F.lit(0)).alias("before"),
+        F.sum("span_n").over(everything).alias("total"),
+    )
+    in_span = Window.partitionBy("span").orderBy("bin")
+    running = in_span.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bins = counted.join(spans, "span").withColumn(
+        "bin_end", F.sum("bin_n").over(running) + F.col("before")
     )
     # The two ranks (from 0) around each wanted position.
     position = F.col("probability") * (F.col("total") - 1)

@@ -10,6 +10,9 @@ with an equi-join on (key, slot), which adaptive execution can split where a slo
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -218,14 +221,82 @@ def narrow_slots(events: DataFrame, gap_minutes: float = GAP_MINUTES) -> DataFra
     return _numbered(slots, gap_minutes)
 
 
+def segment_slots(
+    events: DataFrame,
+    gap_minutes: float = GAP_MINUTES,
+    landing: LandingRules = LandingRules(),
+    tie_break: str = "event_id",
+) -> DataFrame:
+    """Numbered (key, slot) rows with times and the landing's channel, device and client.
+
+    That is all that purchases, attribution, facts and metrics take from a session. Every branch of
+    a query that starts from this frame needs the same columns of it (the filters name those that a
+    branch could do without), so Spark plans one exchange of the events and reuses it.
+    """
+    first = F.min(
+        F.struct(
+            (~_is_candidate(landing)).alias("late"),
+            F.col("ts_us"),
+            F.col(tie_break).alias("tie"),
+            "channel",
+            "device_type",
+            F.col("client_id_canonical").alias("client"),
+        )
+    )
+    slots = (
+        with_slots(events, gap_minutes)
+        .groupBy(*SLOT_KEYS)
+        .agg(
+            F.min("ts_us").alias("first_us"),
+            F.max("ts_us").alias("last_us"),
+            first.alias("landing"),
+        )
+    )
+    needed = [F.col(c).isNotNull() for c in ("slot_us", "first_us", "last_us", "landing")]
+    return _numbered(slots.where(reduce(and_, needed)), gap_minutes)
+
+
+def segment_sessions(slots: DataFrame) -> DataFrame:
+    """Sessions of `segment_slots`: keys, times, client, landing channel and device.
+
+    All rows of a key share its client (or have none), so the landing's client is the session's.
+    """
+    start = F.timestamp_micros("start_us")
+    return (
+        slots.groupBy("session_key", "session_num")
+        .agg(
+            F.min("first_us").alias("start_us"),
+            F.max("last_us").alias("end_us"),
+            F.min("landing").alias("landing"),
+        )
+        .select(
+            "session_key",
+            "session_num",
+            to_second(start).alias("session_start_ts"),
+            session_id(F.col("session_key"), F.col("session_num"), start).alias("session_id"),
+            to_second(F.timestamp_micros("end_us")).alias("session_end_ts"),
+            F.col("landing.client").alias("client_id_canonical"),
+            F.col("landing.channel").alias("landing_channel"),
+            F.col("landing.device_type").alias("device_type"),
+        )
+    )
+
+
 def slot_lookup(slots: DataFrame) -> DataFrame:
-    """(key, slot) to session number, id and start; also the landing channel if slots hold it."""
+    """(key, slot) to session number, id and start; also the landing's channel and device.
+
+    The landing is there if the slots hold it; the device is named `landing_device`, as events have
+    a device of their own.
+    """
     whole = Window.partitionBy("session_key", "session_num")
     out = slots.withColumn("start_us", F.min("first_us").over(whole))
     extra = []
     if "landing" in slots.columns:
         out = out.withColumn("_landing", F.min("landing").over(whole))
-        extra = [F.col("_landing.channel").alias("landing_channel")]
+        extra = [
+            F.col("_landing.channel").alias("landing_channel"),
+            F.col("_landing.device_type").alias("landing_device"),
+        ]
     start = F.timestamp_micros("start_us")
     return out.select(
         *SLOT_KEYS,

@@ -18,6 +18,7 @@ from clicktide.operators.attribution import (
     ATTRIBUTION_COLUMNS,
     attribute_purchases,
     attributed_revenue_for,
+    purchase_days,
 )
 from clicktide.operators.cleaning import (
     annotate_quarantine,
@@ -27,24 +28,27 @@ from clicktide.operators.cleaning import (
     quarantined,
 )
 from clicktide.operators.facts import build_daily_fact, daily_channel_funnel
-from clicktide.operators.purchases import extract_purchases, purchase_events
+from clicktide.operators.purchases import SESSION_FACTS, extract_purchases, purchase_events
 from clicktide.operators.reconcile import reconcile
 from clicktide.operators.sessions import (
     SESSION_COLUMNS,
     assign_sessions,
     build_sessions,
     build_touchpoints,
-    narrow_slots,
-    session_slots,
+    segment_sessions,
+    segment_slots,
     sessionize,
-    sessions_from_slots,
     slot_lookup,
 )
-from clicktide.operators.shaping import canonical_identity, enrich_events, prepare_events
+from clicktide.operators.shaping import (
+    canonical_identity,
+    enrich_events,
+    prepare_events,
+    with_event_ts,
+)
 from clicktide.plans.event_view import raw_events
 from clicktide.session import tune
 from clicktide.settings import UTM_FIELDS, LandingRules
-from clicktide.sources.tables import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,27 +83,30 @@ def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_events(raw_events(spark, sf_dir))
 
 
-def _purchases(prepared: DataFrame, slots: DataFrame | None = None) -> DataFrame:
-    """Only purchase events meet the session lookup."""
-    lookup = slot_lookup(narrow_slots(prepared) if slots is None else slots)
-    return extract_purchases(assign_sessions(purchase_events(prepared), lookup))
+def _purchases(prepared: DataFrame, slots: DataFrame) -> DataFrame:
+    """Only purchase events meet the session lookup; they keep the facts of their session."""
+    labelled = assign_sessions(purchase_events(prepared), slot_lookup(slots))
+    return extract_purchases(labelled, keep=SESSION_FACTS)
 
 
-def _tables(prepared: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sessions, purchases and attribution; slots and purchases are stored, as branches share them.
+def _sessions_and_purchases(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both from one frame of slots, whose exchange of the events the branches share."""
+    slots = segment_slots(prepared)
+    return segment_sessions(slots), _purchases(prepared, slots)
+
 
-    The events are read twice: all of them for the slots, purchases only for the purchase table.
-    """
-    slots = materialize(session_slots(prepared), "slots")
-    sessions = sessions_from_slots(slots)
-    purchases = materialize(_purchases(prepared, slots), "purchases")
-    return sessions, purchases, attribute_purchases(purchases, sessions)
+def _tables(prepared: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sessions, purchases and attribution; the days with purchases need no session lookup."""
+    sessions, purchases = _sessions_and_purchases(prepared)
+    bought = with_event_ts(purchase_events(prepared)).withColumnRenamed("ts", "purchase_ts")
+    attribution = attribute_purchases(purchases, sessions, buyers=purchase_days(bought))
+    return sessions, purchases, attribution
 
 
 def _funnel(prepared: DataFrame) -> DataFrame:
-    slots = materialize(session_slots(prepared), "slots")
+    slots = segment_slots(prepared)
     return daily_channel_funnel(
-        assign_sessions(prepared, slot_lookup(slots)), sessions_from_slots(slots)
+        assign_sessions(prepared, slot_lookup(slots)), segment_sessions(slots)
     )
 
 
@@ -342,7 +349,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("purchases")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text(_purchases(_prepared(spark, sf_dir)), "purchase_ts")
+    prepared = _prepared(spark, sf_dir)
+    purchases = _purchases(prepared, segment_slots(prepared)).drop(*SESSION_FACTS)
+    return _text(purchases, "purchase_ts")
 
 
 @query("purchase_attribution")
@@ -374,7 +383,7 @@ _register_model("attribution_daily_last_non_direct", "last_non_direct")
 @query("clean_attribution_revenue")
 def clean_attribution_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: quarantine, sessions, purchases, attribution, daily channel revenue."""
-    kept = materialize(cleaned(annotate_quarantine(raw_events(spark, sf_dir))), "cleaned")
+    kept = cleaned(annotate_quarantine(raw_events(spark, sf_dir)))
     _, _, attribution = _tables(enrich_events(kept))
     return _rounded(
         attributed_revenue_for(attribution, "last_non_direct"), 2, "attributed_revenue"
@@ -409,14 +418,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("kpi_totals")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    totals = kpis.kpi_totals(build_sessions(prepared), _purchases(prepared))
+    totals = kpis.kpi_totals(*_sessions_and_purchases(prepared))
     return _rounded(_rounded(totals, 2, "total_revenue"), 6, "conversion", "aov", "rps")
 
 
 @query("daily_kpis")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    daily = kpis.daily_kpis(build_sessions(prepared), _purchases(prepared))
+    daily = kpis.daily_kpis(*_sessions_and_purchases(prepared))
     return _rounded(_rounded(daily, 2, "revenue"), 6, "purchase_rate")
 
 
@@ -436,14 +445,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("device_conversion")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    table = kpis.device_conversion(build_sessions(prepared), _purchases(prepared))
+    table = kpis.device_conversion(*_sessions_and_purchases(prepared))
     return _rounded(table, 6, "purchase_rate")
 
 
 @query("new_vs_returning")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    table = kpis.new_vs_returning(build_sessions(prepared), _purchases(prepared))
+    table = kpis.new_vs_returning(*_sessions_and_purchases(prepared))
     return _rounded(table, 6, "purchase_rate")
 
 
@@ -456,14 +465,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("time_to_purchase")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    timed = kpis.minutes_to_purchase(_purchases(prepared), build_sessions(prepared))
+    timed = kpis.minutes_to_purchase(_purchases(prepared, segment_slots(prepared)))
     return _rounded(kpis.time_to_purchase(timed), 5, "median_minutes", "p90_minutes")
 
 
 @query("time_to_purchase_hist")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    timed = kpis.minutes_to_purchase(_purchases(prepared), build_sessions(prepared))
+    timed = kpis.minutes_to_purchase(_purchases(prepared, segment_slots(prepared)))
     return _rounded(kpis.time_to_purchase_histogram(timed), 5, "low", "high")
 
 

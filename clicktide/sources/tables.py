@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import json
-import shutil
-import tempfile
-import uuid
-from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -74,28 +69,6 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@cache
-def _local_scratch() -> str:
-    folder = tempfile.mkdtemp(prefix="clicktide-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder of `spark.checkpoint.dir`; in local mode a temporary folder will do."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return f"{configured.rstrip('/')}/clicktide"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
-    return _local_scratch()
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Stage a table that several branches of one query read, so that it is computed once."""
-    return stage(df, f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
-
-
 def load_contract(spark: SparkSession, path: str | None = None) -> Contract:
     """The contract document at `path`, or the default when there is none."""
     if path is None:

@@ -1,4 +1,4 @@
-"""Every registered query against its checking SQL on the same tables."""
+"""Every query of the web event catalog against its checking SQL on the same tables."""
 
 import math
 
@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from clicktide.plans.catalog import QUERIES
+from clicktide.plans.oracles import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -30,13 +32,14 @@ def _order(row):
 
 
 def test_every_query_has_checking_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    got = entry_point.queries()[name](spark, SF_DIR)
-    want = duck.sql(entry_point.oracle_sql()[name])
+    got = QUERIES[name](spark, SF_DIR)
+    want = duck.sql(ORACLES[name])
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     rows = sorted((tuple(r[c] for c in columns) for r in got.collect()), key=_order)

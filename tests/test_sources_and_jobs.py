@@ -155,11 +155,3 @@ def test_csv_and_parquet_round_trip(spark, tmp_path):
         path = tables.write_table(df, str(tmp_path / kind), kind)
         back = tables.read_table(spark, path, kind)
         assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
-
-
-def test_scratch_folder_comes_from_the_session(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    assert tables.scratch_folder(spark) == f"{shared}/clicktide"
-    kept = tables.materialize(spark.range(3), "ids")
-    assert kept.count() == 3
-    assert all(f"{shared}/clicktide/ids-" in f for f in kept.inputFiles())
