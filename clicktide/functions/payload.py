@@ -6,15 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Member that closes the envelope of `parse_payload`.
+_END = "clicktide:end"
+# --- fixed values: texts read as a number ------------------------------------------
+PLAIN_NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+INFINITE_NUMBER = "^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
+
+
 def parse_payload(text: Column) -> Column:
-    """VARIANT of a JSON text; null for missing, malformed or JSON-null text."""
-    parsed = F.try_parse_json(text)
-    return F.when(~F.is_variant_null(parsed), parsed)
+    """VARIANT of a JSON text; null for missing, malformed or JSON-null text.
+
+    The parser stops after the first document. The text is therefore parsed inside an envelope with a
+    closing member, which text behind the document breaks or cuts off.
+    """
+    envelope = F.concat(F.lit('{"document":'), text, F.lit(f',"{_END}":0}}'))
+    parsed = F.try_parse_json(envelope)
+    members = F.try_variant_get(parsed, "$", "map<string,variant>")
+    whole = (F.size(members) == 2) & F.map_contains_key(members, _END)
+    document = F.try_variant_get(parsed, "$.document", "variant")
+    return F.when(whole & ~F.is_variant_null(document), document)
 
 
-def parse_failed(text: Column) -> Column:
+def parse_failed(text: Column, payload: Column) -> Column:
     """True when a non-empty text yields no payload."""
-    return F.coalesce((F.length(text) > 0) & parse_payload(text).isNull(), F.lit(False))
+    return F.coalesce((F.length(text) > 0) & payload.isNull(), F.lit(False))
 
 
 def field(payload: Column, name: str, as_type: str) -> Column:
@@ -22,6 +37,22 @@ def field(payload: Column, name: str, as_type: str) -> Column:
     return F.try_variant_get(payload, f"$.{name}", as_type)
 
 
+def number(payload: Column, name: str) -> Column:
+    """One top-level field as a double: JSON numbers, booleans as 0 and 1, and texts of a plain number.
+
+    Blanks around the text are allowed. A text that names infinity is infinite; `NaN`, a number too
+    large for a double and any other text are missing.
+    """
+    path = f"$.{name}"
+    text = F.regexp_replace(F.try_variant_get(payload, path, "string"), "^\\s+|\\s+$", "")
+    value = text.try_cast("double")
+    finite = F.when(F.abs(value) < float("inf"), value)
+    endless = F.when(text.startswith("-"), float("-inf")).otherwise(float("inf"))
+    of_text = F.when(text.rlike(PLAIN_NUMBER), finite).when(text.rlike(INFINITE_NUMBER), endless)
+    kind = F.schema_of_variant(F.try_variant_get(payload, path, "variant"))
+    return F.when(kind == "STRING", of_text).otherwise(F.try_variant_get(payload, path, "double"))
+
+
 def has_field(payload: Column, name: str) -> Column:
     """True when the field exists and is not JSON null."""
     value = F.try_variant_get(payload, f"$.{name}", "variant")
@@ -62,7 +93,7 @@ def purchase_columns(payload: Column) -> dict[str, Column]:
     """Payload fields used by purchase rules, keyed by column name."""
     return {
         "transaction_id": field(payload, "transaction_id", "string"),
-        "revenue": field(payload, "revenue", "double"),
+        "revenue": number(payload, "revenue"),
         "has_items": has_field(payload, "items"),
         "item_count": F.array_size(field(payload, "items", "array<variant>")),
         "payload_hash": payload_hash(payload),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktide.functions.payload import field, items_json, parse_payload
+from clicktide.functions.payload import field, items_json, number, parse_payload
 from clicktide.operators.shaping import with_event_ts
 from clicktide.settings import PURCHASE_EVENT
 
@@ -34,7 +34,7 @@ def extract_purchases(
         F.col("ts").alias("purchase_ts"),
         "client_id_canonical",
         "session_id",
-        field(payload, "revenue", "double").alias("revenue"),
+        number(payload, "revenue").alias("revenue"),
         field(payload, "user_email", "string").alias("user_email"),
         items_json(payload).alias("items_json"),
         *keep,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from clicktide.functions.payload import (
     has_field,
     invalid_purchase_check,
+    parse_failed,
     parse_payload,
     purchase_columns,
 )
@@ -75,7 +76,7 @@ def partition_measures(
     )
     measures = {
         "rows": F.count(F.lit(1)),
-        "json_failed": F.count_if((F.length("event_data") > 0) & F.col("_payload").isNull()),
+        "json_failed": F.count_if(parse_failed(F.col("event_data"), F.col("_payload"))),
         "ts_failed": F.count_if(F.col("ts").isNull()),
         "ts_misaligned": F.count_if(partition_text(F.col("ts")) != F.col(PARTITION)),
         "identity_nulls": F.count_if(F.col("client_id_canonical").isNull()),

@@ -1,8 +1,8 @@
 """The given `events` table in the shape of raw daily web events.
 
 The given table is clean, so the view derives from each event id the defects that the operators
-look for: renamed and missing identities, unparsable times and payloads, late partitions, repeated
-and colliding purchases, blank click ids. All expressions are plain SQL that Spark and DuckDB read
+look for: renamed and missing identities, unparsable times and payloads, text behind a payload, numbers as text, late partitions,
+repeated purchases (the copy with other key order and spacing) and colliding ones, blank click ids. All expressions are plain SQL that Spark and DuckDB read
 alike, so the checking queries use the very same text.
 """
 
@@ -32,6 +32,10 @@ TRANSACTION = f"""CASE WHEN event_id % 101 = 3 THEN 'null'
 REVENUE = """CASE WHEN event_id % 29 = 0 THEN '0'
   WHEN event_id % 59 = 4 THEN '"abc"'
   WHEN event_id % 53 = 1 THEN '"12.5"'
+  WHEN event_id % 61 = 2 THEN '"NaN"'
+  WHEN event_id % 67 = 3 THEN '"12.5d"'
+  WHEN event_id % 73 = 4 THEN '" 7.5 "'
+  WHEN event_id % 79 = 5 THEN 'true'
   ELSE CAST(value AS STRING) END"""
 ITEMS = """CASE WHEN event_id % 103 = 5 THEN '[]'
   WHEN event_id % 107 = 2 THEN '{"a":1}'
@@ -68,6 +72,10 @@ COLUMNS = {
                            ELSE 'product_added_to_cart' END
     ELSE event_type END""",
     "event_data": f"""CASE WHEN event_id % 71 = 0 THEN '{{bad' WHEN event_id % 83 = 0 THEN NULL
+  WHEN event_id % 89 = 3 THEN '{{"transaction_id":"T","revenue":1,"items":[{{}}]}} and more'
+  WHEN {IS_PURCHASE} AND copy = 1 THEN '{{ "items": ' || {ITEMS} ||
+    CASE WHEN event_id % 2 = 0 THEN ', "user_email": "h' || CAST(user_id AS STRING) || '"' ELSE '' END
+    || ', "revenue": ' || {REVENUE} || ', "transaction_id": ' || {TRANSACTION} || ' }}'
   WHEN {IS_PURCHASE} THEN '{{"transaction_id":' || {TRANSACTION} || ',"revenue":' || {REVENUE} ||
     ',"items":' || {ITEMS} ||
     CASE WHEN event_id % 2 = 0 THEN ',"user_email":"h' || CAST(user_id AS STRING) || '"' ELSE '' END

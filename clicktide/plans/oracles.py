@@ -150,14 +150,25 @@ _METRICS = ("sessions", "purchases", "revenue", "purchase_rate", "direct_session
             "direct_revenue_share")
 _FRAME = "PARTITION BY metric ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING"
 
+# Revenue as a number: JSON numbers, booleans, and texts of a plain or infinite number.
+_REVENUE = r"""CASE json_type(j, '$.revenue') WHEN 'BOOLEAN' THEN CAST(CAST(j->'$.revenue' AS BOOLEAN) AS DOUBLE)
+    WHEN 'VARCHAR' THEN CASE WHEN regexp_full_match(trim(j->>'$.revenue'),
+        '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i)[+-]?inf(inity)?')
+      THEN TRY_CAST(trim(j->>'$.revenue') AS DOUBLE) END
+    ELSE TRY_CAST(j->>'$.revenue' AS DOUBLE) END"""
+# The payload with its members in a fixed order and no spacing between them.
+_CANONICAL = "concat_ws('|', " + ", ".join(
+    f"coalesce(CAST(j->'$.{c}' AS STRING), '-')" for c in ("items", "revenue", "transaction_id", "user_email")
+) + ")"
+
 _STEPS: dict[str, str] = {
     "raw": duckdb_raw_events(),
     "base": """SELECT *, coalesce(client_id, clientId) AS client, TRY_CAST("timestamp" AS TIMESTAMP) AS ts,
     CASE WHEN json_valid(event_data) THEN CAST(event_data AS JSON) END AS j FROM raw""",
-    "paid": """SELECT *, j->>'$.transaction_id' AS tx, TRY_CAST(j->>'$.revenue' AS DOUBLE) AS rev,
+    "paid": f"""SELECT *, j->>'$.transaction_id' AS tx, {_REVENUE} AS rev,
     coalesce(json_type(j, '$.items'), 'NULL') AS items_type,
     CASE WHEN json_type(j, '$.items') = 'ARRAY' THEN json_array_length(j, '$.items') END AS n_items,
-    CASE WHEN j IS NULL THEN '' ELSE event_data END AS payload
+    CASE WHEN j IS NULL THEN '' ELSE {_CANONICAL} END AS payload
     FROM base WHERE event_name = 'checkout_completed'""",
     # quality
     "payloads": "SELECT partition_date, tx, payload, count(*) AS copies FROM paid GROUP BY ALL",
@@ -220,8 +231,8 @@ _STEPS: dict[str, str] = {
       AND NOT contains(coalesce(page_url, ''), 'checkout.shop.example.com') AS cand FROM started""",
     "sess": _session_select(_known),
     "sess_page": _session_select(_cand),
-    "pur": """SELECT event_id AS pid, j->>'$.transaction_id' AS transaction_id, ts AS purchase_ts,
-    client AS client_id_canonical, session_id, TRY_CAST(j->>'$.revenue' AS DOUBLE) AS revenue,
+    "pur": f"""SELECT event_id AS pid, j->>'$.transaction_id' AS transaction_id, ts AS purchase_ts,
+    client AS client_id_canonical, session_id, {_REVENUE} AS revenue,
     j->>'$.user_email' AS user_email, coalesce(CAST(j->'$.items' AS STRING), 'null') AS items_json
     FROM labelled WHERE event_name = 'checkout_completed'""",
     # attribution by range join

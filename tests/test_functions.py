@@ -27,8 +27,29 @@ def test_payload_hash_of_missing_payload_is_that_of_empty_text(spark):
 
 
 def test_parse_failures_count_bad_and_null_json_but_not_missing_text(spark):
-    got = values(spark, ["{bad", "null", "", None, "{}"], P.parse_failed(F.col("x")))
-    assert got == [True, True, False, False, False]
+    texts = ["{bad", "null", "", None, "{}", '{"a":1} trailing', '{"a":1}}', '{"a":1},"b":2', '[1] 2', ' {"a":1}\n']
+    got = values(spark, texts, P.parse_failed(F.col("x"), P.parse_payload(F.col("x"))))
+    assert got == [True, True, False, False, False, True, True, True, True, False]
+
+
+def test_duplicate_keys_and_nan_literals_do_not_parse(spark):
+    got = values(spark, ['{"a":1,"a":2}', '{"a":NaN}', '{"a":{"b":1,"b":1}}'], P.parse_payload(F.col("x")).isNull())
+    assert got == [True, True, True]
+
+
+@pytest.mark.parametrize(
+    "value,want",
+    [
+        ("5", 5.0), ("1e3", 1000.0), ("true", 1.0), ("false", 0.0), ("null", None), ("[1]", None), ('{"a":1}', None),
+        ("1e400", float("inf")), ('"12.5"', 12.5), ('" 12.5 "', 12.5), ('"\\t7\\n"', 7.0), ('"+5"', 5.0), ('".5"', 0.5),
+        ('"5."', 5.0), ('"NaN"', None), ('" nan "', None), ('"12.5d"', None), ('"12.5f"', None), ('"0x10"', None),
+        ('"1_0"', None), ('"true"', None), ('""', None), ('"1e400"', None), ('"Infinity"', float("inf")),
+        ('"-inf"', float("-inf")), ('"1e"', None), ('"12,5"', None),
+    ],
+)
+def test_numbers_of_a_payload(spark, value, want):
+    payload = P.parse_payload(F.col("x"))
+    assert values(spark, [f'{{"revenue":{value}}}'], P.number(payload, "revenue")) == [want]
 
 
 @pytest.mark.parametrize(
