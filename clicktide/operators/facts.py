@@ -91,26 +91,30 @@ def build_daily_fact(
 def daily_channel_funnel(
     events: DataFrame,
     sessions: DataFrame,
-    event_names: tuple[str, ...] = ALLOWED_EVENTS,
+    event_names: tuple[str, ...] | None = ALLOWED_EVENTS,
     purchase_event: str = PURCHASE_EVENT,
 ) -> DataFrame:
     """Events per name by event day and landing channel, with that day's session starts.
 
     `events` carry `landing_channel` (see `slot_lookup`); where they do not, it is joined in by
     session id. Rows without a channel are left out. Sessions are counted on their start day, so
-    the rate may be null or above 1.
+    the rate may be null or above 1. Events of other names than the listed ones are counted together
+    as `other_events`; with `event_names=None` the names are taken from the data (one more job) and
+    each has a column.
     """
     if "landing_channel" not in events.columns:
         channel = sessions.select("session_id", "landing_channel")
         events = events.join(channel, "session_id", "left")
-    counts = (
-        with_event_ts(events)
-        .where(F.col("landing_channel").isNotNull())
-        .groupBy(day_text(F.col("ts")).alias("event_day"), "landing_channel")
-        .pivot("event_name", list(event_names))
-        .agg(F.count("timestamp"))
-        .fillna(0, subset=list(event_names))
-    )
+    timed = with_event_ts(events).where(F.col("landing_channel").isNotNull())
+    others = event_names is not None
+    if event_names is None:
+        found = timed.select("event_name").where(F.col("event_name").isNotNull()).distinct()
+        event_names = tuple(sorted({r.event_name for r in found.collect()} | {purchase_event}))
+    columns = [F.count(F.when(F.col("event_name") == n, F.col("timestamp"))).alias(n) for n in event_names]
+    if others:
+        other = ~F.col("event_name").isin(*event_names)
+        columns.append(F.count(F.when(other, F.col("timestamp"))).alias("other_events"))
+    counts = timed.groupBy(day_text(F.col("ts")).alias("event_day"), "landing_channel").agg(*columns)
     starts = (
         sessions.where(F.col("landing_channel").isNotNull())
         .groupBy(day_text(F.col("session_start_ts")).alias("event_day"), "landing_channel")

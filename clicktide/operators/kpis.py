@@ -100,9 +100,13 @@ def attribution_shares(attribution: DataFrame) -> DataFrame:
     )
 
 
-def attribution_sensitivity(attribution: DataFrame, top: int = TOP_CHANNELS) -> DataFrame:
+def attribution_sensitivity(
+    attribution: DataFrame, top: int = TOP_CHANNELS, rows: int | None = None
+) -> DataFrame:
     """Revenue share per channel and model for the top channels of any model.
 
+    `rows` keeps only the first rows of the ordered table, as a report shows them.
+
     Rows are placed by the first model (in `MODEL_PRIORITY`) that ranks the channel, then by rank.
     """
     ranked = attribution_shares(attribution).withColumn(
@@ -112,7 +116,7 @@ def attribution_sensitivity(attribution: DataFrame, top: int = TOP_CHANNELS) ->
     slot = F.lit(None).cast("int")
     for order, model in enumerate(MODEL_PRIORITY):
         slot = F.when(F.col("model") == model, order * (top + 1) + F.col("rank")).otherwise(slot)
-    return (
+    table = (
         ranked.groupBy("channel")
         .agg(
             *[
@@ -125,6 +129,7 @@ def attribution_sensitivity(attribution: DataFrame, top: int = TOP_CHANNELS) ->
         .orderBy("_place")
         .drop("_place")
     )
+    return table if rows is None else table.limit(rows)
 
 
 def with_purchase_flag(sessions: DataFrame, purchases: DataFrame) -> DataFrame:

@@ -223,8 +223,31 @@ def _strings(values: tuple[str, ...]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def _row_checks(contract: Contract) -> list[Column]:
+# Ids in the order of the results.
+ROW_CHECKS = (
+    "schema.required_columns_present",
+    "schema.identity_column_present",
+    "schema.unknown_event_names",
+    "integrity.event_data_json_parse_rate",
+    "integrity.timestamp_parse_and_partition_alignment",
+    "schema.referrer_column_present",
+    "tracking.identity_null_rate",
+)
+NO_PURCHASES = "purchase.integrity.no_purchases"
+PURCHASE_CHECKS = (
+    "purchase.integrity.required_fields_and_positive_revenue",
+    "purchase.transaction_id_collision",
+    "purchase.transaction_id_replay_duplicates",
+)
+# Checks that compare purchases with each other.
+DUPLICATE_CHECKS = PURCHASE_CHECKS[1:]
+
+
+def _row_checks(contract: Contract, scanned: bool | None = None) -> dict[str, Column]:
+    """Checks of a partition's own rows by id; `scanned` says where the column names come from."""
     cols, rows = F.col("columns"), F.col("rows")
+    source = {None: None, True: "file header", False: "columns holding any value"}[scanned]
+    origin = {} if source is None else {"columns_from": F.lit(source)}
 
     def rate(count: str) -> Column:
         return F.when(rows > 0, F.col(count) / rows).otherwise(0.0)
@@ -236,7 +259,7 @@ def _row_checks(contract: Contract) -> list[Column]:
     has_data = F.array_contains(cols, "event_data")
     has_time = F.array_contains(cols, "timestamp")
     has_referrer = F.array_contains(cols, "referrer")
-    return [
+    checks = [
         _result(
             "schema.required_columns_present",
             "Required base columns are present",
@@ -245,6 +268,7 @@ def _row_checks(contract: Contract) -> list[Column]:
             F.size(missing),
             missing_columns=missing,
             present_columns=cols,
+            **origin,
         ),
         _result(
             "schema.identity_column_present",
@@ -254,6 +278,7 @@ def _row_checks(contract: Contract) -> list[Column]:
             F.size(present),
             identity_columns=_strings(contract.identity_columns),
             present=present,
+            **origin,
         ),
         _result(
             "schema.unknown_event_names",
@@ -296,6 +321,7 @@ def _row_checks(contract: Contract) -> list[Column]:
             has_referrer,
             has_referrer.cast("int"),
             present=has_referrer,
+            **origin,
         ),
         _result(
             "tracking.identity_null_rate",
@@ -308,11 +334,15 @@ def _row_checks(contract: Contract) -> list[Column]:
             total=rows,
         ),
     ]
+    return dict(zip(ROW_CHECKS, checks, strict=True))
 
 
-def _purchase_checks() -> Column:
+def _purchase_checks(wanted: set[str]) -> Column | None:
+    """The wanted purchase checks: one row for a partition without purchases, else one for each."""
     purchases, invalid = F.col("purchase_count"), F.col("invalid_purchases")
-    collisions, replays = F.col("collision_count"), F.col("replay_event_rows")
+    nothing = F.lit(0)
+    collisions = F.col("collision_count") if DUPLICATE_CHECKS[0] in wanted else nothing
+    replays = F.col("replay_event_rows") if DUPLICATE_CHECKS[1] in wanted else nothing
     none = _result(
         "purchase.integrity.no_purchases",
         "No purchases in the partition",
@@ -349,18 +379,37 @@ def _purchase_checks() -> Column:
             replay_event_rows=replays,
         ),
     ]
-    return F.when(purchases == 0, F.array(none)).otherwise(F.array(*some))
+    chosen = [c for name, c in zip(PURCHASE_CHECKS, some, strict=True) if name in wanted]
+    if NO_PURCHASES not in wanted:
+        return F.when(purchases > 0, F.array(*chosen)) if chosen else None
+    listed = F.array(*chosen) if chosen else F.slice(F.array(none), 1, 0)
+    return F.when(purchases == 0, F.array(none)).otherwise(listed)
 
 
 def check_results(
-    measures: DataFrame, duplicates: DataFrame, contract: Contract = Contract()
+    measures: DataFrame,
+    duplicates: DataFrame | None,
+    contract: Contract = Contract(),
+    checks: tuple[str, ...] | None = None,
+    scanned: bool | None = None,
 ) -> DataFrame:
-    """All checks of all partitions, one row each."""
-    joined = _left_join_partition(measures, duplicates).fillna(
-        0, subset=["collision_count", "replay_event_rows"]
-    )
-    checks = F.concat(F.array(*_row_checks(contract)), _purchase_checks())
-    return joined.select(PARTITION, F.inline(checks))
+    """The checks (all by default) of all partitions, one row each.
+
+    `duplicates` may be None where no check of DUPLICATE_CHECKS is wanted. Measures that no wanted
+    check reads are never computed.
+    """
+    wanted = set(checks if checks is not None else (*ROW_CHECKS, NO_PURCHASES, *PURCHASE_CHECKS))
+    joined = measures
+    if duplicates is not None:
+        joined = _left_join_partition(measures, duplicates).fillna(
+            0, subset=["collision_count", "replay_event_rows"]
+        )
+    parts = [c for name, c in _row_checks(contract, scanned).items() if name in wanted]
+    rows = [F.array(*parts)] if parts else []
+    bought = _purchase_checks(wanted)
+    if bought is not None:
+        rows.append(bought)
+    return joined.select(PARTITION, F.inline(F.concat(*rows)))
 
 
 def run_all_checks(
@@ -368,10 +417,16 @@ def run_all_checks(
     contract: Contract = Contract(),
     partitions: DataFrame | None = None,
     measures: DataFrame | None = None,
+    checks: tuple[str, ...] | None = None,
 ) -> DataFrame:
+    """All checks, or only the named ones with just the work that they need."""
     if measures is None:
         measures = partition_measures(events, contract, partitions)
-    return check_results(measures, duplicate_measures(events), contract)
+    compared = checks is None or bool(set(checks) & set(DUPLICATE_CHECKS))
+    duplicates = duplicate_measures(events) if compared else None
+    return check_results(
+        measures, duplicates, contract, checks, scanned="source_columns" in events.columns
+    )
 
 
 def score_partitions(results: DataFrame) -> DataFrame:
@@ -479,6 +534,11 @@ def drift_results(profile: DataFrame, contract: Contract = Contract()) -> DataFr
     return identity.unionByName(schema)
 
 
+def failed_signals(drift: DataFrame) -> DataFrame:
+    """The drift results that failed, the cross-partition signals of a report."""
+    return drift.where(~F.col("passed"))
+
+
 def quality_rollup(scores: DataFrame) -> DataFrame:
     """One row: partitions, failed checks, P0 blockers, mean score, days with a P0."""
     return scores.agg(

@@ -198,7 +198,7 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _register_check(name: str, *check_ids: str) -> None:
     @query(name)
     def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = _results(spark, sf_dir).where(F.col("check_id").isin(*check_ids))
+        rows = quality.run_all_checks(raw_events(spark, sf_dir), checks=check_ids)
         return _rounded(
             rows.select("partition_date", "check_id", "severity", "passed", "measure"),
             6,
@@ -278,6 +278,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.withColumns({c: _joined(c) for c in lists})
 
 
+@query("failed_signals")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = quality.partition_profile(_measures(spark, sf_dir))
+    return quality.failed_signals(quality.drift_results(profile)).drop("details")
+
+
 @query("dq_rollup")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rollup(quality.score_partitions(_results(spark, sf_dir)))

@@ -24,7 +24,7 @@ from clicktide.operators.cleaning import (
     quarantined,
 )
 from clicktide.operators.facts import build_daily_fact, daily_channel_funnel
-from clicktide.operators.purchases import extract_purchases, purchase_events
+from clicktide.operators.purchases import SESSION_FACTS, extract_purchases, purchase_events
 from clicktide.operators.reconcile import reconcile
 from clicktide.operators.sessions import (
     GAP_MINUTES,
@@ -37,6 +37,7 @@ from clicktide.operators.sessions import (
 from clicktide.operators.shaping import prepare_events
 from clicktide.settings import Contract, LandingRules, TrafficRules
 from clicktide.sources.tables import (
+    read_by_partition,
     stage,
     store_annotated,
     write_by_partition,
@@ -69,6 +70,7 @@ def quality_job(
         "drift": quality.drift_results(profile, contract),
         "rollup": quality.quality_rollup(scores),
         "blocked": quality.blocked_partitions(scores),
+        "failed_signals": quality.failed_signals(quality.drift_results(profile, contract)),
     }
     if folder is not None:
         for name in ("scores", "drift", "rollup"):
@@ -121,11 +123,15 @@ def transformation_job(
     sessions = _keep(sessions_from_slots(slots), folder, "sessions")
     lookup = _keep(slot_lookup(slots), folder, "slot_lookup")
     sessionized = assign_sessions(prepared, lookup, gap_minutes)
-    # Only purchases are joined for the purchase table, and only their own columns.
+    if folder is not None:
+        # The one table that purchases and funnel are made of; raw events are read for the slots and
+        # for this, and once more for two counts.
+        day = F.col("ts").cast("date").cast("string")
+        path = f"{folder}/events_with_sessions"
+        write_by_partition(sessionized.withColumn("event_day", day), path, "event_day")
+        sessionized = read_by_partition(events.sparkSession, path, "event_day")
     purchases = _keep(
-        extract_purchases(assign_sessions(purchase_events(prepared), lookup, gap_minutes)),
-        folder,
-        "purchases",
+        extract_purchases(purchase_events(sessionized), keep=SESSION_FACTS), folder, "purchases"
     )
     attribution = _keep(
         attribute_purchases(purchases, sessions, lookback_days),
@@ -134,8 +140,8 @@ def transformation_job(
     )
     tables = {
         "sessions": sessions,
-        "events_with_sessions": sessionized.drop("landing_channel"),
-        "purchases": purchases,
+        "events_with_sessions": sessionized.drop("landing_channel", "landing_device", "event_day"),
+        "purchases": purchases.drop(*SESSION_FACTS),
         "attribution": attribution,
         "touchpoints": touchpoints_from_slots(slots),
         "fact": build_daily_fact(sessions, purchases, attribution),
@@ -144,10 +150,6 @@ def transformation_job(
         **{f"attribution_{m}_daily": attributed_revenue_for(attribution, m) for m in MODELS},
     }
     if folder is not None:
-        by_day = tables["events_with_sessions"].withColumn(
-            "event_day", F.col("ts").cast("date").cast("string")
-        )
-        write_by_partition(by_day, f"{folder}/events_with_sessions", "event_day")
         for name in ("touchpoints", "fact", "funnel"):
             tables[name] = stage(tables[name], f"{folder}/{name}")
         for m in MODELS:

@@ -270,7 +270,8 @@ _STEPS: dict[str, str] = {
       count(*) FILTER (WHERE event_name = 'product_added_to_cart') AS product_added_to_cart,
       count(*) FILTER (WHERE event_name = 'checkout_started') AS checkout_started,
       count(*) FILTER (WHERE event_name = 'checkout_completed') AS checkout_completed,
-      count(*) FILTER (WHERE event_name = 'email_filled_on_popup') AS email_filled_on_popup
+      count(*) FILTER (WHERE event_name = 'email_filled_on_popup') AS email_filled_on_popup,
+      count(*) FILTER (WHERE event_name NOT IN ({_ALLOWED})) AS other_events
       FROM labelled JOIN sess USING (session_id) GROUP BY 1, 2) e
     LEFT JOIN (SELECT {_DAY.format('start')} AS event_day, landing_channel, count(*) AS sessions
       FROM sess GROUP BY 1, 2) s
@@ -434,6 +435,15 @@ ORACLES: dict[str, str] = {
       {_changed('NOT has_{0}', tuple(sorted(_REQUIRED)))} AS missing_critical
       FROM (SELECT *, lag(partition_date) OVER (ORDER BY partition_date) AS prev_date, {_LAGS} FROM meas)
       WHERE prev_date IS NOT NULL)"""),
+    "failed_signals": _sql("""SELECT partition_date, 'drift.identity_null_rate_robust_z' AS check_id,
+    CASE WHEN abs(z) > 4.5 THEN 'P1_HIGH' ELSE 'P2_MEDIUM' END AS severity, false AS passed
+    FROM (SELECT partition_date, CASE WHEN m = 0 THEN 0.0 ELSE 0.6745 * (rate - med) / m END AS z
+      FROM (SELECT partition_date, anon / n AS rate, (SELECT median(anon / n) FROM meas) AS med,
+        (SELECT mad(anon / n) FROM meas) AS m FROM meas)) WHERE abs(z) > 3.5
+    UNION ALL
+    SELECT partition_date, 'drift.schema_removed_or_missing_critical', 'P0_BLOCKER', false
+    FROM (SELECT *, lag(partition_date) OVER (ORDER BY partition_date) AS prev_date FROM meas)
+    WHERE prev_date IS NOT NULL AND NOT (has_page_url AND has_timestamp AND has_event_name AND has_event_data AND has_user_agent)"""),
     "dq_rollup": _sql("""SELECT count(*) AS partitions, CAST(sum(failed) AS BIGINT) AS failed_checks,
     CAST(sum(p0_failed) AS BIGINT) AS p0_blockers, round(avg(dq_score), 1) AS mean_score,
     count(*) FILTER (WHERE p0_failed > 0) AS p0_days FROM scores"""),

@@ -52,9 +52,9 @@ P0, P1, P2, P3 = "P0_BLOCKER", "P1_HIGH", "P2_MEDIUM", "P3_INFO"
 SEVERITY_WEIGHTS = {P0: 30, P1: 15, P2: 5, P3: 0}
 UNKNOWN_SEVERITY_WEIGHT = 5
 
+# --- fixed values: z scale and purchase event --------------------------------------
 # Robust z = 0.6745 * (x - median) / MAD.
 ROBUST_Z_SCALE = 0.6745
-
 PURCHASE_EVENT = "checkout_completed"
 
 

@@ -94,8 +94,14 @@ def load_contract(spark: SparkSession, path: str | None = None) -> Contract:
     )
 
 
-def load_quality_scores(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """Stored partition scores with `day`, or None when they are absent, unreadable or empty."""
+def load_quality_scores(
+    spark: SparkSession, path: str | None, dated_only: bool = False
+) -> DataFrame | None:
+    """Stored partition scores with `day`, or None when they are absent, unreadable or empty.
+
+    Partitions without a date have a null day and count in the monitoring roll-up; `dated_only`
+    leaves them out, as the analysis by day does.
+    """
     if path is None:
         return None
     try:
@@ -107,7 +113,7 @@ def load_quality_scores(spark: SparkSession, path: str | None) -> DataFrame | No
         return None
     text = F.col("partition_date").cast("string")
     iso = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-    scores = scores.withColumn("day", iso.try_cast("date").cast("string")).where(
-        F.col("day").isNotNull()
-    )
+    scores = scores.withColumn("day", iso.try_cast("date").cast("string"))
+    if dated_only:
+        scores = scores.where(F.col("day").isNotNull())
     return None if scores.isEmpty() else scores

@@ -145,8 +145,10 @@ def test_quality_scores_may_be_absent_or_broken(spark, tmp_path):
         '{"partition_date":"20250223","dq_score":85,"p0_failed":0}\n'
         '{"partition_date":"oops","dq_score":1,"p0_failed":1}\n'
     )
-    rows = tables.load_quality_scores(spark, str(good)).collect()
+    rows = tables.load_quality_scores(spark, str(good), dated_only=True).collect()
     assert [(r.day, r.dq_score) for r in rows] == [("2025-02-23", 85)]
+    every = tables.load_quality_scores(spark, str(good)).collect()
+    assert sorted((r.day or "", r.p0_failed) for r in every) == [("", 1), ("2025-02-23", 0)]
 
 
 def test_csv_and_parquet_round_trip(spark, tmp_path):
