@@ -10,7 +10,9 @@ transactions with a defect are in the verdict table; the join becomes a broadcas
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.functions.payload import invalid_purchase_clean, parse_payload, purchase_columns
@@ -24,10 +26,26 @@ COLLISION = "transaction_id_collision"
 REPLAY = "duplicate_purchase_replay"
 REASONS = (INVALID, COLLISION, REPLAY)
 
-_LAST = (1 << 63) - 1
+# Micros that stand for an unknown time; known ones are smaller for 30,000 years.
+_LAST = 10**18
+_WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 _WORK = ("_payload", "_tx", "_invalid", "_collided", "_kept", "_place")
 
 
+def _place(micros: Column, tie: Column, tie_type: str) -> Column:
+    """Time, then tie-break, as one value to compare.
+
+    With a whole number as tie-break both fit one decimal, which a hash aggregate can keep in place; a
+    struct would make Spark sort the rows first.
+    """
+    at = F.coalesce(micros, F.lit(_LAST))
+    if tie_type not in _WHOLE_NUMBERS:
+        return F.struct(at.alias("at"), tie.alias("tie"))
+    width = F.lit(Decimal(1 << 64)).cast("decimal(20,0)")
+    shifted = tie.cast("decimal(20,0)") + F.lit(Decimal(1 << 63)).cast("decimal(20,0)")
+    return (at.cast("decimal(19,0)") * width + shifted).cast("decimal(38,0)")
+
+
 def annotate_quarantine(
     events: DataFrame, scope: tuple[str, ...] = ("partition_date",), tie_break: str = "event_id"
 ) -> DataFrame:
@@ -50,9 +68,7 @@ def annotate_quarantine(
         "quarantine_reason", F.when(F.col("_invalid"), INVALID)
     )
     # A valid purchase always has a transaction id, so this join carries no null keys.
-    place = F.struct(
-        F.coalesce(F.unix_micros("ts"), F.lit(_LAST)).alias("at"), F.col(tie_break).alias("tie")
-    )
+    place = _place(F.unix_micros("ts"), F.col(tie_break), dict(shaped.dtypes)[tie_break])
     # `purchase_events` is a plain comparison, which reaches the scan.
     valid = purchase_events(flagged).where(~F.col("_invalid")).withColumn("_place", place)
     # Rows of files without a date are one partition of their own.
