@@ -137,6 +137,21 @@ def judge(documents: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "te
     )
 
 
+def accepted(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether a text passes the base limits and every rule, as one expression for a filter.
+
+    A filter on a column of `judge` would be pushed below it and measure the text once per reference.
+    """
+
+    def verdict(found: Column) -> Column:
+        held = ~base_failed(found)
+        for rule in rules:
+            held = held & rule.passes(found)
+        return held
+
+    return let(measures(text), verdict)
+
+
 def base_failed(into: Column) -> Column:
     """Too short, or more than half of the words in repeated windows, in whole numbers."""
     return (into["n_words"] < 50) | (100 * into["n_repeat_words"] > 50 * into["n_words"])

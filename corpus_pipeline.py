@@ -21,9 +21,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: documents that a rule rejects go."""
-    judged = quality_rules.judge(docs, into="__quality")
-    verdict = F.col("__quality")
-    return judged.where(verdict["kept"] & ~quality_rules.base_failed(verdict)).drop("__quality")
+    return docs.where(quality_rules.accepted(F.col("text")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
