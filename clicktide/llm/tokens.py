@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from clicktide.llm.common import text_blocks
 
 #: Pieces remembered by a Python worker; at the bound the dictionary starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 #: Longer pieces are encoded each time instead of remembered.
 LONGEST_REMEMBERED = 40
 
