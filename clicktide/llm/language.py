@@ -28,9 +28,12 @@ UNDETERMINED = "und"
 #: N-grams of a profile.
 SIZE = 300
 #: N-grams that a task holds before it passes its counts on.
-HELD = 1_000_000
+HELD = 300_000
 BLANK = 32
 WIDTH = 21  # bits of a code point
+#: Bytes of text that are ranked at a time, and signs whose n-grams are sorted at a time.
+RANKED_BYTES = 1 << 20
+SLICE = 1 << 20
 
 
 @cache
@@ -45,36 +48,72 @@ def letters() -> np.ndarray:
     return table
 
 
-def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, n-gram, count) of a block, sorted by text and n-gram; an n-gram packs its code points."""
+def signs_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, sign) of every letter, with one blank before, between and behind the words."""
     padded = [f" {t} " if t else " " for t in texts]
     points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4")
-    owner = np.repeat(np.arange(len(texts)), [len(p) for p in padded])
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(p) for p in padded])
     signs = letters()[points]
     blank = signs == BLANK
-    first = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, bool)
-    keep = ~blank | first | ~np.concatenate([[True], blank[:-1]]) if len(owner) else blank
-    signs, owner = signs[keep], owner[keep]
+    keep = ~blank
+    keep[1:] |= ~blank[:-1] | (owner[1:] != owner[:-1])
+    keep[:1] = True
+    return owner[keep], signs[keep]
+
+
+def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, n-gram, count) of a block, sorted by text and n-gram; an n-gram packs its code points.
+
+    Signs are counted SLICE at a time, so that a long text needs memory for its letters only.
+    """
+    owner, signs = signs_of(texts)
+    parts = [counted(owner, signs, at) for at in range(0, len(signs), SLICE)]
+    if len(parts) == 1:
+        return parts[0]
+    owners, codes, counts = (np.concatenate([p[k] for p in parts] or [np.zeros(0, np.int64)]) for k in range(3))
+    order = np.lexsort((codes, owners))
+    owners, codes, counts = owners[order], codes[order], counts[order]
+    begin = runs_begin(owners, codes)
+    return owners[begin], codes[begin], np.add.reduceat(counts, begin) if len(begin) else counts
+
+
+def runs_begin(*keys: np.ndarray) -> np.ndarray:
+    """Where a new run of equal keys begins."""
+    changed = np.zeros(len(keys[0]), bool)
+    changed[:1] = True
+    for key in keys:
+        changed[1:] |= key[1:] != key[:-1]
+    return np.flatnonzero(changed)
+
+
+def counted(owner: np.ndarray, signs: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams that begin within SLICE signs from `at`."""
+    owner, signs = owner[at : at + SLICE + 2], signs[at : at + SLICE + 2]
+    first = int(owner[0])
+    owner = (owner - first).astype(np.int64)
     alphabet, dense = np.unique(signs, return_inverse=True)
-    bits = max(1, int(len(alphabet)).bit_length())
+    bits = len(alphabet).bit_length()
     dense = dense.astype(np.int64) + 1  # 0: no sign here
     keys = []
     for n in (1, 2, 3):
-        code, last = np.zeros(max(0, len(dense) - n + 1), np.int64), len(dense) - n + 1
+        last = min(len(dense) - n + 1, SLICE)
+        if last <= 0:
+            continue
+        code = owner[:last].copy()
         for k in range(3):
             code = code << bits | (dense[k : k + last] if k < n else 0)
-        whole = (owner[: max(0, last)] == owner[n - 1 :]) if last > 0 else np.zeros(0, bool)
+        whole = owner[:last] == owner[n - 1 : n - 1 + last]
         if n == 1:
-            whole &= signs[: max(0, last)] != BLANK
-        keys.append((owner[: max(0, last)][whole] << 3 * bits) | code[whole])
-    sorted_keys = np.sort(np.concatenate(keys)) if len(dense) else np.zeros(0, np.int64)
-    begin = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])) if len(sorted_keys) else np.zeros(0, np.int64)
+            whole &= signs[:last] != BLANK
+        keys.append(code[whole])
+    sorted_keys = np.sort(np.concatenate(keys))
+    begin = runs_begin(sorted_keys)
     counts = np.diff(np.append(begin, len(sorted_keys)))
     runs = sorted_keys[begin]
     names = np.concatenate([[0], alphabet]).astype(np.int64)
     mask = (1 << bits) - 1
     code = names[runs >> 2 * bits & mask] << 2 * WIDTH | names[runs >> bits & mask] << WIDTH | names[runs & mask]
-    return runs >> 3 * bits, code, counts
+    return (runs >> 3 * bits) + first, code, counts
 
 
 def learn(documents: DataFrame, lang: str = "lang", text: str = "text", size: int = SIZE) -> dict[str, list[int]]:
@@ -83,7 +122,7 @@ def learn(documents: DataFrame, lang: str = "lang", text: str = "text", size: in
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, dict[int, int]] = {}
         for batch in batches:
-            for block in text_blocks(batch, 1):
+            for block in text_blocks(batch, 1, RANKED_BYTES):
                 tongues = np.array(block.column(0).to_pylist(), object)
                 owner, code, counts = grams(block.column(1).to_pylist())
                 for tongue in sorted(set(tongues)):
@@ -168,7 +207,7 @@ def identify(documents: DataFrame, profiles: dict[str, list[int]], text: str = "
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in text_blocks(batch, place):
+            for block in text_blocks(batch, place, RANKED_BYTES):
                 names, scores = model.texts(block.column(place).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*block.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], schema.names
