@@ -203,6 +203,22 @@ def test_proposals_that_look_alike_are_added(spark):
     assert spans[120] == "phone:12:28"
 
 
+def test_copies_of_a_table_give_the_same_spans(spark):
+    rnd = random.Random(2)
+    number = lambda: f"({rnd.randint(100, 999)}) {rnd.randint(100, 999)}-{rnd.randint(1000, 9999)}"
+    texts = [f"please call +1 {number()} today or item {rnd.randint(10**7, 10**8)} in stock" for _ in range(120)]
+    texts += ["please call 1 (212) 555-0182 today"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    once = {r.doc_id: r.spans for r in pii.digest(pii.find(docs)).collect()}
+    copies = docs.crossJoin(spark.range(100).withColumnRenamed("id", "copy"))
+    many = pii.digest(pii.find(copies)).collect()
+    assert len(many) == 12100 and all(r.spans == once[r.doc_id] for r in many)
+    assert once[120] == "phone:12:28"
+    values, times = np.array([0.5, 0.1, 0.9, 0.3]), np.array([3, 1, 4, 2])
+    for share in (0.0, 0.05, 0.33, 0.5, 1.0):
+        assert np.isclose(pii.quantile(values, times, share), np.quantile(np.repeat(values, times), share))
+
+
 def test_redaction(spark, edge_documents, no_documents):
     docs = spark.createDataFrame(
         [(1, "é mail x.y@z.org, +1 (974) 555-3436 and 1.2.3.4!", "s"), (2, None, None), (3, "clean", "s")],
