@@ -219,6 +219,16 @@ def test_copies_of_a_table_give_the_same_spans(spark):
         assert np.isclose(pii.quantile(values, times, share), np.quantile(np.repeat(values, times), share))
 
 
+def test_spelled_addresses_are_proposed_wherever_they_match(spark):
+    texts = ["john at example.com", "so john at example.com dot", "JOHN(AT)EXAMPLE(DOT)COM", "john [At] example DOT com", "at home"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.annotate(docs).select("doc_id", F.col("pii.proposed").alias("p")).collect()
+    found = {r.doc_id: [(p.kind, p.start, p.end) for p in r.p] for r in rows}
+    assert found == {0: [("email", 0, 19)], 1: [("email", 3, 22)], 2: [("email", 0, 23)], 3: [("email", 0, 25)], 4: []}
+    dots = pii.FEATURES.index("n_dots")
+    assert [r.p[0].features[dots] for r in sorted(rows, key=lambda r: r.doc_id)[:4]] == [1, 1, 1, 1]
+
+
 def test_redaction(spark, edge_documents, no_documents):
     docs = spark.createDataFrame(
         [(1, "é mail x.y@z.org, +1 (974) 555-3436 and 1.2.3.4!", "s"), (2, None, None), (3, "clean", "s")],
