@@ -225,8 +225,19 @@ def test_spelled_addresses_are_proposed_wherever_they_match(spark):
     rows = pii.annotate(docs).select("doc_id", F.col("pii.proposed").alias("p")).collect()
     found = {r.doc_id: [(p.kind, p.start, p.end) for p in r.p] for r in rows}
     assert found == {0: [("email", 0, 19)], 1: [("email", 3, 22)], 2: [("email", 0, 23)], 3: [("email", 0, 25)], 4: []}
-    dots = pii.FEATURES.index("n_dots")
-    assert [r.p[0].features[dots] for r in sorted(rows, key=lambda r: r.doc_id)[:4]] == [1, 1, 1, 1]
+
+
+def test_frequent_proposals_are_always_learned_from(spark):
+    size = len(pii.FEATURES)
+    phone, proposed = pii.KINDS.index("phone"), "array<struct<features:array<int>,same:boolean>>"
+    rare = [([([0, 50 + k] + [0] * (size - 2), False)],) for k in range(400)]
+    for digits in (9, 10, 11, 12):
+        often = [([([phone, digits] + [0] * (size - 2), True)] * 100,)] * 10
+        rows = spark.createDataFrame([(r,) for r in rare + often], f"pii struct<proposed:{proposed}>")
+        model = pii.fit(rows, rows=20)
+        assert "phone" in model.thresholds
+        share = 1 / (1 + np.exp(-model.start))
+        assert 0.5 < share < 0.85  # 1000 of 1400
 
 
 def test_redaction(spark, edge_documents, no_documents):
