@@ -4,8 +4,10 @@ The items are normalised (A-Z lowered, cut into words) and put into one automato
 sequences inside items. Documents stream through it word by word: the state says the longest match that
 ends here. A match of `window` words or more covers its words; so does a whole item shorter than that.
 
-The automaton is built from blocks of items of bounded size and sent to the tasks; documents meet every
-block in turn, so a large benchmark costs more passes, not more memory. Words that the items do not know
+Tasks deal the items into blocks of bounded size (a longer item is cut into pieces that share window - 1
+words) and write an automaton of each into the shared folder. Documents meet one block per pass, and each
+pass but the last is stored, so a large benchmark costs more passes, not more memory: a Python worker holds
+one automaton, the driver the blocks' names. Words that the items do not know
 and pairs of words that follow each other in no item cannot lie in a match of two words, so only runs of
 known pairs enter the automaton; the rest of the text is skipped with array operations.
 
@@ -15,20 +17,25 @@ items count as their own ids. Item ids are compared as strings. Other columns st
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicktide.llm.common import text_blocks
+from clicktide.llm.binary_ids import put
+from clicktide.llm.common import make_folder, remove, shared_folder, store, text_blocks
 
 #: Words per automaton; a larger benchmark is split into several.
 BLOCK_WORDS = 200_000
+#: Characters of items that one task deals into blocks, as a multiple of BLOCK_WORDS (about four blocks).
+TASK_CHARS = 24
 #: A-Z lowered; everything but letters, digits and bytes beyond ASCII cuts words.
 NORMAL = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -40,6 +47,19 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(NORMAL).split()
 
 
+def pieces(text: str | None, window: int, most: int) -> Iterator[list[bytes]]:
+    """The words of an item in runs of at most `most`; each `window` words lie together in one of them."""
+    words: list[bytes] = []
+    cut = False
+    for found in re.finditer(b"[^ ]+", (text or "").encode("utf-8", "surrogatepass").translate(NORMAL)):
+        words.append(found[0])
+        if len(words) == most:
+            yield words
+            words, cut = words[most - window + 1 :], True
+    if words and not (cut and len(words) < window):
+        yield words
+
+
 class Automaton:
     """The generalised suffix automaton of word sequences, with what a scan needs at each state."""
 
@@ -151,7 +171,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    """All automata of a benchmark; a text gives its words, covered spans of words and item ids."""
+    """The automaton of a block; a text gives its words, covered spans of words and item ids."""
 
     def __init__(self, blocks: list[Automaton]):
         self.blocks = blocks
@@ -193,22 +213,56 @@ class Scanner:
             yield len(words), merged(spans[k]), sorted(items[k])
 
 
-def scanners(benchmark: DataFrame, window: int, item_id: str, text: str) -> list[Scanner]:
-    """The automata of the benchmark, one scanner for each block of BLOCK_WORDS words."""
-    out, block, size = [], [], 0
-    rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t"))
-    for row in rows.orderBy("i", "t").toLocalIterator():
-        words = words_of(row.t)
-        if not words or row.i is None:
-            continue
-        if block and size + len(words) > BLOCK_WORDS:
-            out.append(Scanner([Automaton(block, window)]))
-            block, size = [], 0
-        block.append((row.i, words))
-        size += len(words)
-    if block or not out:
-        out.append(Scanner([Automaton(block, window)]))
-    return out
+def write_blocks(benchmark: DataFrame, window: int, item_id: str, text: str, folder: str) -> list[str]:
+    """Write a scanner for each block of the benchmark into the folder; return their names, one at least."""
+    spark = benchmark.sparkSession
+    make_folder(spark, folder)
+    rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("i IS NOT NULL")
+    chars = rows.agg(F.sum(F.length("t").cast("long"))).first()[0] or 0
+    limit, most = BLOCK_WORDS, max(BLOCK_WORDS, 2 * window)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, names, block, size = TaskContext.get().partitionId(), [], [], 0
+
+        def close() -> None:
+            names.append(f"{task}-{len(names)}")
+            put(folder, names[-1], pickle.dumps(Scanner([Automaton(block, window)])))
+
+        for batch in batches:
+            for part in text_blocks(batch, 1):
+                for name, item in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                    for words in pieces(item.as_py(), window, most):
+                        if block and size + len(words) > limit:
+                            close()
+                            block, size = [], 0
+                        block.append((name, words))
+                        size += len(words)
+        if block:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["name"])
+
+    dealt = rows.repartition(1 + chars // (TASK_CHARS * BLOCK_WORDS))
+    names = [r.name for r in dealt.mapInArrow(build, "name string").collect()]
+    return sorted(names) or [""]
+
+
+#: The block that this Python worker read last, by path.
+HELD: dict[str, Scanner] = {}
+
+
+def block_of(folder: str, name: str, window: int) -> Scanner:
+    """A scanner from the shared folder; a worker keeps the last one only. Without a name it knows no items."""
+    from pyarrow import fs
+
+    if not name:
+        return Scanner([Automaton([], window)])
+    whole = f"{folder}/{name}"
+    if whole not in HELD:
+        HELD.clear()
+        shared, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        with shared.open_input_stream(f"{path}/{name}") as file:
+            HELD[whole] = pickle.loads(file.read())
+    return HELD[whole]
 
 
 FOUND = T.StructType(
@@ -228,52 +282,41 @@ def find(documents: DataFrame, benchmark: DataFrame, window: int = 10, text: str
     """
     spark = documents.sparkSession
     out = documents.drop(into)
-    for number, scanner in enumerate(scanners(benchmark, window, item_id, item_text)):
-        sent = spark.sparkContext.broadcast(scanner)
-        column = into if not number else f"{into}_{number}"
-        schema = T.StructType([*out.schema.fields, T.StructField(column, FOUND)])
-        place = out.columns.index(text)
-
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent, place=place, column=column) -> Iterator[pa.RecordBatch]:
-            own = sent.value
+    schema = T.StructType([*out.schema.fields, T.StructField(into, FOUND)])
+    place, names = out.columns.index(text), schema.names
+    folder = shared_folder(spark)
+    kind = pa.struct(
+        [
+            ("n_words", pa.int64()),
+            ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+            ("items", pa.list_(pa.string())),
+        ]
+    )
+    blocks, last = write_blocks(benchmark, window, item_id, item_text, folder), None
+    for number, name in enumerate(blocks):
+
+        def scan(batches: Iterator[pa.RecordBatch], name=name, number=number) -> Iterator[pa.RecordBatch]:
+            own = block_of(folder, name, window)
             for batch in batches:
                 for block in text_blocks(batch, place):
                     rows = [
                         {"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": items}
                         for n, spans, items in own.texts(block.column(place))
                     ]
-                    kind = pa.struct(
-                        [
-                            ("n_words", pa.int64()),
-                            ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                            ("items", pa.list_(pa.string())),
-                        ]
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [*block.columns, pa.array(rows, kind)], [*block.schema.names, column]
-                    )
+                    if number:  # what the blocks before have found
+                        for k, before in enumerate(block.column(len(names) - 1).to_pylist()):
+                            if before["spans"]:
+                                both = [(s["start"], s["end"]) for s in before["spans"] + rows[k]["spans"]]
+                                rows[k]["spans"] = [{"start": a, "end": b} for a, b in merged(both)]
+                                rows[k]["items"] = sorted({*before["items"], *rows[k]["items"]})
+                    columns = block.columns[: len(names) - 1]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, kind)], names)
 
         out = out.mapInArrow(scan, schema)
-        if number:  # bring the blocks' findings together
-            both = F.concat(F.col(into)["spans"], F.col(column)["spans"])
-            joined = F.aggregate(
-                F.array_sort(both),
-                F.array().cast("array<struct<start:bigint,end:bigint>>"),
-                lambda acc, s: F.when(
-                    (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= s["start"]),
-                    F.concat(
-                        F.slice(acc, F.lit(1), F.size(acc) - 1),
-                        F.array(
-                            F.struct(
-                                F.element_at(acc, -1)["start"].alias("start"),
-                                F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end"),
-                            )
-                        ),
-                    ),
-                ).otherwise(F.concat(acc, F.array(s))),
-            )
-            items = F.array_sort(F.array_union(F.col(into)["items"], F.col(column)["items"]))
-            out = out.withColumn(into, F.col(into).withField("spans", joined).withField("items", items)).drop(column)
+        if number < len(blocks) - 1:
+            kept, out = last, store(out, last := f"{folder}-{number}")
+            if kept:
+                remove(spark, kept)
     return out
 
 

@@ -7,6 +7,7 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.llm import chat, decontaminate, oracles, pii, quality_rules, queries
@@ -65,6 +66,23 @@ def test_decontamination_of_random_texts(spark, monkeypatch, block_words):
         assert tuple(row)[1:] == brute_hits(texts[row.doc_id], items, 4), texts[row.doc_id]
 
 
+def test_blocks_are_bounded_and_built_in_tasks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 20)
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda *a, **k: pytest.fail("items went through the driver"))
+    rnd = random.Random(8)
+    say = lambda n: " ".join(rnd.choice("a b c d e f".split()) for _ in range(n))
+    items = [(1, say(130)), (2, say(20)), (3, say(3)), (4, say(21)), (5, None), (6, "!")]
+    texts = [say(60) + " " + items[0][1][k : k + 90] + " x " + items[3][1] for k in range(0, 120, 10)] + [items[0][1]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    folder = str(tmp_path / "blocks")
+    names = decontaminate.write_blocks(bench, 4, "item_id", "text", folder)
+    longest = [max(a.length) for n in names for a in decontaminate.block_of(folder, n, 4).blocks]
+    assert len(names) >= 9 and max(longest) <= 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in decontaminate.digest(decontaminate.find(docs, bench, window=4)).collect():
+        assert tuple(row)[1:] == brute_hits(texts[row.doc_id], items, 4), texts[row.doc_id]
+
+
 def test_cleaning_removes_passages_only(spark, edge_documents, no_documents):
     item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
     bench = spark.createDataFrame([(1, item), (None, "the cat sat on the mat"), (2, "")], "item_id long, text string")
