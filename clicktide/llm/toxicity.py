@@ -77,18 +77,37 @@ def informative(rows: list[np.ndarray], y: np.ndarray, signal: float) -> np.ndar
     return (seen >= 3) & ((together - expected) ** 2 > signal * np.maximum(spread, 1e-9))
 
 
+def interacting(rows: list[np.ndarray], y: np.ndarray, useful: np.ndarray, signal: float) -> np.ndarray:
+    """`useful`, and every term that says something of the label among the rows with a useful term.
+
+    A term that is nearly independent of the label by itself keeps its factors if it matters beside another.
+    """
+    out = useful.copy()
+    holders: dict[int, list[int]] = {}
+    for number, row in enumerate(rows):
+        for term in row[useful[row]].tolist():
+            holders.setdefault(term, []).append(number)
+    for numbers in holders.values():
+        with_term = np.zeros(len(rows), bool)
+        with_term[numbers] = True
+        labels = y[with_term]
+        if 0 < labels.sum() < len(labels):
+            out |= informative([rows[k] for k in numbers], labels, signal)
+    return out
+
+
 def train(
     rows: list[np.ndarray], labels: list[int], rank: int = 4, epochs: int = 20, rate: float = 0.2, ridge: float = 1e-3,
     signal: float = 20.0, batch: int = 64, seed: int = 7,
 ) -> Machine:
-    """Adaptive gradient steps on the logistic loss; terms without `signal` stay at zero."""
+    """Adaptive gradient steps on the logistic loss; terms without `signal`, alone or beside such a term, stay at zero."""
     rng = np.random.default_rng(seed)
     y = np.array(labels, float)
     share = min(max(float(y.mean()), 1e-3), 1 - 1e-3) if len(y) else 0.0
     size = 1 << BITS
     if not len(y):
         return Machine(-40.0, np.zeros(size), np.zeros((size, rank)))
-    useful = informative(rows, y, signal)
+    useful = interacting(rows, y, informative(rows, y, signal), signal)
     rows = [r[useful[r]] for r in rows]
     model = Machine(float(np.log(share / (1 - share))), np.zeros(size), np.zeros((size, rank)))
     model.factors[useful] = rng.normal(0, 0.01, (int(useful.sum()), rank))

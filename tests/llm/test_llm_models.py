@@ -121,6 +121,23 @@ def test_pairs_that_no_sum_can_tell():
     assert float(model.factors[v] @ model.factors[w]) > 0.5
 
 
+def test_a_group_that_is_neutral_by_itself():
+    """Beside the insult the group turns the label, without it the other way, so alone it says next to nothing."""
+    rng = np.random.default_rng(3)
+    filler = [f"w{k}" for k in range(60)]
+    rows, labels = [], []
+    for _ in range(4000):
+        words, insult, group = list(rng.choice(filler, 8)), rng.random() < 0.5, rng.random() < 0.4
+        rows.append(toxicity.terms(" ".join(words + ["vile"] * insult + ["folk"] * group)))
+        labels.append(int(rng.random() < ((0.95 if group else 0.5) if insult else (0.02 if group else 0.45))))
+    y, folk = np.array(labels, float), toxicity.terms("folk")[0]
+    assert not toxicity.informative(rows, y, 20.0)[folk]
+    model = toxicity.train(rows, labels)
+    assert float(model.factors[toxicity.terms("vile")[0]] @ model.factors[folk]) > 0.5
+    said = model.score([toxicity.terms("vile folk"), toxicity.terms("vile"), toxicity.terms("folk")])
+    assert said[0] > 0.8 and said[0] > said[1] + 0.2 and said[2] < 0.2
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in queries.table(spark, folder, "labels").collect()}
