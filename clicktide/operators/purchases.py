@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktide.functions.payload import field, items_json, number, parse_payload
+from clicktide.functions.payload import field, items_json, number, with_facts
 from clicktide.operators.shaping import with_event_ts
 from clicktide.settings import PURCHASE_EVENT
 
@@ -25,17 +25,23 @@ def extract_purchases(
 
     `keep` names columns to carry along, for instance SESSION_FACTS.
     """
-    rows = with_event_ts(purchase_events(sessionized, event)).withColumn(
-        "_payload", parse_payload(F.col("event_data"))
+    rows = with_facts(
+        with_event_ts(purchase_events(sessionized, event)),
+        F.col("event_data"),
+        lambda payload: {
+            "_tx": field(payload, "transaction_id", "string"),
+            "_revenue": number(payload, "revenue"),
+            "_email": field(payload, "user_email", "string"),
+            "_items": items_json(payload),
+        },
     )
-    payload = F.col("_payload")
     return rows.select(
-        field(payload, "transaction_id", "string").alias("transaction_id"),
+        F.col("_tx").alias("transaction_id"),
         F.col("ts").alias("purchase_ts"),
         "client_id_canonical",
         "session_id",
-        number(payload, "revenue").alias("revenue"),
-        field(payload, "user_email", "string").alias("user_email"),
-        items_json(payload).alias("items_json"),
+        F.col("_revenue").alias("revenue"),
+        F.col("_email").alias("user_email"),
+        F.col("_items").alias("items_json"),
         *keep,
     )

@@ -1,5 +1,8 @@
 """Data-quality checks per daily partition, scores, decisions and cross-partition drift.
 
+A partition is a day by default; with `scope=FILE_SCOPE` it is a file, so that two files of one day
+are measured, compared and scored apart.
+
 One scan yields every row-level measure of a partition with map-side combine. Collisions and
 replays take a second aggregation over purchases, first by (partition, transaction, payload) and
 then by (partition, transaction), so a hot transaction is combined before it is shuffled. Result
@@ -14,11 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktide.functions.payload import (
+    field,
     has_field,
     invalid_purchase_check,
     parse_failed,
-    parse_payload,
+    payload_hash,
     purchase_columns,
+    with_facts,
 )
 from clicktide.functions.scoring import ladder, penalty, robust_z
 from clicktide.functions.timing import partition_text
@@ -27,6 +32,10 @@ from clicktide.operators.shaping import canonical_identity, ensure_columns, with
 from clicktide.settings import P0, P1, P2, P3, PURCHASE_EVENT, Contract
 
 PARTITION = "partition_date"
+# What a partition is: the columns that measures, checks, drift and scores are grouped by.
+Scope = tuple[str, ...]
+DAY_SCOPE: Scope = (PARTITION,)
+FILE_SCOPE: Scope = ("source_file", PARTITION)
 DRIFT_Z_FAIL = 3.5
 DRIFT_Z_HIGH = 4.5
 
@@ -49,49 +58,56 @@ def _present_columns(events: DataFrame, contract: Contract) -> Column:
     return F.array_compact(F.array(*present))
 
 
-def _left_join_partition(left: DataFrame, right: DataFrame) -> DataFrame:
+def _left_join_partition(left: DataFrame, right: DataFrame, scope: Scope) -> DataFrame:
     """Join two per-partition tables; rows of files without a date are one partition."""
-    renamed = right.withColumnRenamed(PARTITION, "_partition")
-    same = F.col(PARTITION).eqNullSafe(F.col("_partition"))
-    return left.join(renamed, same, "left").drop("_partition")
+    renamed = right.withColumnsRenamed({c: f"_of_{c}" for c in scope})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in scope]
+    return left.join(renamed, same, "left").drop(*[f"_of_{c}" for c in scope])
 
 
 def partition_measures(
     events: DataFrame,
     contract: Contract = Contract(),
     partitions: DataFrame | None = None,
+    scope: Scope = DAY_SCOPE,
 ) -> DataFrame:
     """One row per partition with every count the checks need.
 
-    `partitions` (partition_date, columns) may name partitions with no rows at all.
+    `partitions` (the scope columns, columns) may name partitions with no rows at all.
     """
-    shaped = _shaped(events, contract).withColumn("_payload", parse_payload(F.col("event_data")))
-    p = purchase_columns(F.col("_payload"))
+
+    def facts(payload: Column) -> dict[str, Column]:
+        p = purchase_columns(payload)
+        invalid = invalid_purchase_check(
+            p["transaction_id"], p["revenue"], p["has_items"], p["item_count"]
+        )
+        failed = parse_failed(F.col("event_data"), payload)
+        return {"_failed": failed, "_invalid": invalid, "_revenue": p["revenue"]}
+
+    shaped = with_facts(_shaped(events, contract), F.col("event_data"), facts)
     is_purchase = F.col("event_name") == PURCHASE_EVENT
-    invalid = invalid_purchase_check(
-        p["transaction_id"], p["revenue"], p["has_items"], p["item_count"]
-    )
     unknown = F.col("event_name").isNotNull() & ~F.col("event_name").isin(
         *contract.allowed_events
     )
     measures = {
         "rows": F.count(F.lit(1)),
-        "json_failed": F.count_if(parse_failed(F.col("event_data"), F.col("_payload"))),
+        "json_failed": F.count_if("_failed"),
         "ts_failed": F.count_if(F.col("ts").isNull()),
         "ts_misaligned": F.count_if(partition_text(F.col("ts")) != F.col(PARTITION)),
         "identity_nulls": F.count_if(F.col("client_id_canonical").isNull()),
         "unknown_event_rows": F.count_if(unknown),
         "purchase_count": F.count_if(is_purchase),
-        "invalid_purchases": F.count_if(is_purchase & invalid),
-        "revenue_sum": F.sum(F.when(is_purchase, F.coalesce(p["revenue"], F.lit(0.0)))),
+        "invalid_purchases": F.count_if(is_purchase & F.col("_invalid")),
+        "revenue_sum": F.sum(F.when(is_purchase, F.coalesce("_revenue", F.lit(0.0)))),
     }
-    stats = shaped.groupBy(PARTITION).agg(
+    stats = shaped.groupBy(*scope).agg(
         _present_columns(events, contract).alias("columns"),
         *[c.alias(name) for name, c in measures.items()],
     )
     if partitions is not None:
-        headers = partitions.select(PARTITION, F.col("columns").alias("_columns"))
-        stats = _left_join_partition(headers, stats).withColumn(
+        every = F.array_sort(F.array_distinct(F.flatten(F.collect_set("columns"))))
+        headers = partitions.groupBy(*scope).agg(every.alias("_columns"))
+        stats = _left_join_partition(headers, stats, scope).withColumn(
             "columns", F.coalesce("columns", "_columns")
         )
     counts = [name for name in measures if name != "revenue_sum"]
@@ -101,39 +117,38 @@ def partition_measures(
     return (
         stats.withColumns(filled)
         .withColumn("identity_null_rate", F.when(F.col("rows") > 0, rate).otherwise(1.0))
-        .select(PARTITION, "columns", *measures, "identity_null_rate")
+        .select(*scope, "columns", *measures, "identity_null_rate")
     )
 
 
-def partition_profile(measures: DataFrame) -> DataFrame:
+def partition_profile(measures: DataFrame, scope: Scope = DAY_SCOPE) -> DataFrame:
     return measures.select(
-        PARTITION, "rows", "columns", "identity_null_rate", "purchase_count", "revenue_sum"
+        *scope, "rows", "columns", "identity_null_rate", "purchase_count", "revenue_sum"
     )
 
 
 # --- purchase collisions and replays ----------------------------------------------
 
 
-def payload_groups(events: DataFrame) -> DataFrame:
+def payload_groups(events: DataFrame, scope: Scope = DAY_SCOPE) -> DataFrame:
     """Purchases counted by (partition, transaction, payload hash)."""
-    payload = parse_payload(F.col("event_data"))
-    rows = purchase_events(events).select(PARTITION, payload.alias("_payload"))
-    p = purchase_columns(F.col("_payload"))
-    return (
-        rows.select(
-            PARTITION,
-            p["transaction_id"].alias("transaction_id"),
-            p["payload_hash"].alias("payload_hash"),
-        )
-        .groupBy(PARTITION, "transaction_id", "payload_hash")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    rows = with_facts(
+        purchase_events(events),
+        F.col("event_data"),
+        lambda payload: {
+            "transaction_id": field(payload, "transaction_id", "string"),
+            "payload_hash": payload_hash(payload),
+        },
+    )
+    return rows.groupBy(*scope, "transaction_id", "payload_hash").agg(
+        F.count(F.lit(1)).alias("copies")
     )
 
 
-def _transaction_groups(events: DataFrame) -> DataFrame:
+def _transaction_groups(events: DataFrame, scope: Scope) -> DataFrame:
     return (
-        payload_groups(events)
-        .groupBy(PARTITION, "transaction_id")
+        payload_groups(events, scope)
+        .groupBy(*scope, "transaction_id")
         .agg(
             F.count(F.lit(1)).alias("payloads"),
             F.sum("copies").alias("purchase_rows"),
@@ -142,26 +157,26 @@ def _transaction_groups(events: DataFrame) -> DataFrame:
     )
 
 
-def transaction_collisions(events: DataFrame) -> DataFrame:
+def transaction_collisions(events: DataFrame, scope: Scope = DAY_SCOPE) -> DataFrame:
     """Transaction ids used for more than one payload within a partition."""
     return (
-        _transaction_groups(events)
+        _transaction_groups(events, scope)
         .where(F.col("transaction_id").isNotNull() & (F.col("payloads") > 1))
-        .select(PARTITION, "transaction_id", "payloads", "purchase_rows")
+        .select(*scope, "transaction_id", "payloads", "purchase_rows")
     )
 
 
-def replayed_purchases(events: DataFrame) -> DataFrame:
+def replayed_purchases(events: DataFrame, scope: Scope = DAY_SCOPE) -> DataFrame:
     """(Transaction, payload) pairs seen more than once in a partition; a null id is a value."""
-    return payload_groups(events).where(F.col("copies") > 1)
+    return payload_groups(events, scope).where(F.col("copies") > 1)
 
 
-def duplicate_measures(events: DataFrame) -> DataFrame:
+def duplicate_measures(events: DataFrame, scope: Scope = DAY_SCOPE) -> DataFrame:
     """Collision and replay counts per partition."""
     collided = F.col("transaction_id").isNotNull() & (F.col("payloads") > 1)
     return (
-        _transaction_groups(events)
-        .groupBy(PARTITION)
+        _transaction_groups(events, scope)
+        .groupBy(*scope)
         .agg(
             F.count_if(collided).alias("collision_count"),
             F.sum("replay_rows").alias("replay_event_rows"),
@@ -169,36 +184,42 @@ def duplicate_measures(events: DataFrame) -> DataFrame:
     )
 
 
-def unknown_event_names(events: DataFrame, contract: Contract = Contract()) -> DataFrame:
+def unknown_event_names(
+    events: DataFrame, contract: Contract = Contract(), scope: Scope = DAY_SCOPE
+) -> DataFrame:
     """Event names outside the contract, with their row counts."""
     return (
         events.where(
             F.col("event_name").isNotNull() & ~F.col("event_name").isin(*contract.allowed_events)
         )
-        .groupBy(PARTITION, "event_name")
+        .groupBy(*scope, "event_name")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
 
 
-def payload_contract(events: DataFrame, contract: Contract = Contract()) -> DataFrame:
+def payload_contract(
+    events: DataFrame, contract: Contract = Contract(), scope: Scope = DAY_SCOPE
+) -> DataFrame:
     """Events whose payload lacks a required field, per partition, event name and field."""
-    payload = parse_payload(F.col("event_data"))
-    rows = events.where(F.col("event_name").isin(*contract.payload_requirements)).select(
-        PARTITION, "event_name", payload.alias("_payload")
+    asked = sorted({f for fields in contract.payload_requirements.values() for f in fields})
+    rows = with_facts(
+        events.where(F.col("event_name").isin(*contract.payload_requirements)),
+        F.col("event_data"),
+        lambda payload: {f"_has_{k}": has_field(payload, f) for k, f in enumerate(asked)},
     )
     checks = [
         F.struct(
             F.lit(required).alias("field"),
-            (~has_field(F.col("_payload"), required)).alias("missing"),
+            (~F.col(f"_has_{asked.index(required)}")).alias("missing"),
             F.lit(name).alias("required_for"),
         )
         for name, fields in contract.payload_requirements.items()
         for required in fields
     ]
     return (
-        rows.select(PARTITION, "event_name", F.inline(F.array(*checks)))
+        rows.select(*scope, "event_name", F.inline(F.array(*checks)))
         .where(F.col("event_name") == F.col("required_for"))
-        .groupBy(PARTITION, "event_name", "field")
+        .groupBy(*scope, "event_name", "field")
         .agg(F.count(F.lit(1)).alias("events"), F.count_if("missing").alias("missing"))
     )
 
@@ -392,6 +413,7 @@ def check_results(
     contract: Contract = Contract(),
     checks: tuple[str, ...] | None = None,
     scanned: bool | None = None,
+    scope: Scope = DAY_SCOPE,
 ) -> DataFrame:
     """The checks (all by default) of all partitions, one row each.
 
@@ -401,7 +423,7 @@ def check_results(
     wanted = set(checks if checks is not None else (*ROW_CHECKS, NO_PURCHASES, *PURCHASE_CHECKS))
     joined = measures
     if duplicates is not None:
-        joined = _left_join_partition(measures, duplicates).fillna(
+        joined = _left_join_partition(measures, duplicates, scope).fillna(
             0, subset=["collision_count", "replay_event_rows"]
         )
     parts = [c for name, c in _row_checks(contract, scanned).items() if name in wanted]
@@ -409,7 +431,7 @@ def check_results(
     bought = _purchase_checks(wanted)
     if bought is not None:
         rows.append(bought)
-    return joined.select(PARTITION, F.inline(F.concat(*rows)))
+    return joined.select(*scope, F.inline(F.concat(*rows)))
 
 
 def run_all_checks(
@@ -418,18 +440,19 @@ def run_all_checks(
     partitions: DataFrame | None = None,
     measures: DataFrame | None = None,
     checks: tuple[str, ...] | None = None,
+    scope: Scope = DAY_SCOPE,
 ) -> DataFrame:
     """All checks, or only the named ones with just the work that they need."""
     if measures is None:
-        measures = partition_measures(events, contract, partitions)
+        measures = partition_measures(events, contract, partitions, scope)
     compared = checks is None or bool(set(checks) & set(DUPLICATE_CHECKS))
-    duplicates = duplicate_measures(events) if compared else None
+    duplicates = duplicate_measures(events, scope) if compared else None
     return check_results(
-        measures, duplicates, contract, checks, scanned="source_columns" in events.columns
+        measures, duplicates, contract, checks, "source_columns" in events.columns, scope
     )
 
 
-def score_partitions(results: DataFrame) -> DataFrame:
+def score_partitions(results: DataFrame, scope: Scope = DAY_SCOPE) -> DataFrame:
     """Score (100 minus the weights of failed checks, at least 0), decision and failed counts."""
     failed = ~F.col("passed")
 
@@ -437,7 +460,7 @@ def score_partitions(results: DataFrame) -> DataFrame:
         return F.count_if(failed & (F.col("severity") == severity))
 
     return (
-        results.groupBy(PARTITION)
+        results.groupBy(*scope)
         .agg(
             F.greatest(
                 F.lit(0), F.lit(100) - F.sum(penalty(F.col("severity"), F.col("passed")))
@@ -448,7 +471,7 @@ def score_partitions(results: DataFrame) -> DataFrame:
             failed_at(P2).alias("p2_failed"),
         )
         .select(
-            PARTITION,
+            *scope,
             "dq_score",
             ladder(
                 (F.col("p0_failed") > 0, "QUARANTINE"), (F.col("failed") > 0, "WARN"), default="PASS"
@@ -464,7 +487,7 @@ def score_partitions(results: DataFrame) -> DataFrame:
 # --- drift over partitions (one row per day, so unpartitioned windows stay small) ---
 
 
-def identity_drift(profile: DataFrame) -> DataFrame:
+def identity_drift(profile: DataFrame, scope: Scope = DAY_SCOPE) -> DataFrame:
     """Robust z of each partition's identity null rate against all partitions."""
     everything = Window.partitionBy(F.lit(1))
     rate = F.col("identity_null_rate")
@@ -472,9 +495,9 @@ def identity_drift(profile: DataFrame) -> DataFrame:
     return (
         profile.withColumn("_med", F.median("identity_null_rate").over(everything))
         .withColumn("_dev", F.abs(rate - F.col("_med")))
-        .select(PARTITION, "identity_null_rate", z.alias("robust_z"))
+        .select(*scope, "identity_null_rate", z.alias("robust_z"))
         .select(
-            PARTITION,
+            *scope,
             F.lit("drift.identity_null_rate_robust_z").alias("check_id"),
             ladder(
                 (F.abs("robust_z") > DRIFT_Z_HIGH, P1),
@@ -488,9 +511,14 @@ def identity_drift(profile: DataFrame) -> DataFrame:
     )
 
 
-def schema_drift(profile: DataFrame, contract: Contract = Contract()) -> DataFrame:
-    """Columns added, removed or critically missing against the previous partition."""
-    by_date = Window.partitionBy(F.lit(1)).orderBy(PARTITION)
+def schema_drift(
+    profile: DataFrame, contract: Contract = Contract(), scope: Scope = DAY_SCOPE
+) -> DataFrame:
+    """Columns added, removed or critically missing against the previous partition.
+
+    Partitions follow each other by date, files of one date by name.
+    """
+    by_date = Window.partitionBy(F.lit(1)).orderBy(PARTITION, *[c for c in scope if c != PARTITION])
     cols, prev = F.col("columns"), F.col("_prev")
     missing = F.array_sort(F.array_except(_strings(contract.required_columns), cols))
     return (
@@ -498,7 +526,7 @@ def schema_drift(profile: DataFrame, contract: Contract = Contract()) -> DataFra
         .withColumn("prev_date", F.lag(PARTITION).over(by_date))
         .where(F.col("prev_date").isNotNull())
         .select(
-            PARTITION,
+            *scope,
             F.lit("drift.schema_removed_or_missing_critical").alias("check_id"),
             "prev_date",
             F.array_sort(F.array_except(prev, cols)).alias("removed_columns"),
@@ -513,17 +541,19 @@ def schema_drift(profile: DataFrame, contract: Contract = Contract()) -> DataFra
     )
 
 
-def drift_results(profile: DataFrame, contract: Contract = Contract()) -> DataFrame:
+def drift_results(
+    profile: DataFrame, contract: Contract = Contract(), scope: Scope = DAY_SCOPE
+) -> DataFrame:
     """Both drift checks as rows (partition, check, severity, passed, details)."""
-    identity = identity_drift(profile).select(
-        PARTITION,
+    identity = identity_drift(profile, scope).select(
+        *scope,
         "check_id",
         "severity",
         "passed",
         F.to_json(F.struct("robust_z", "identity_null_rate")).alias("details"),
     )
-    schema = schema_drift(profile, contract).select(
-        PARTITION,
+    schema = schema_drift(profile, contract, scope).select(
+        *scope,
         "check_id",
         "severity",
         "passed",
@@ -550,8 +580,8 @@ def quality_rollup(scores: DataFrame) -> DataFrame:
     )
 
 
-def blocked_partitions(scores: DataFrame) -> DataFrame:
+def blocked_partitions(scores: DataFrame, scope: Scope = DAY_SCOPE) -> DataFrame:
     """Partitions that were quarantined or hold a failed blocker."""
     return scores.where((F.col("decision") == "QUARANTINE") | (F.col("p0_failed") > 0)).select(
-        PARTITION, "dq_score", "decision", "p0_failed"
+        *scope, "dq_score", "decision", "p0_failed"
     )

@@ -22,10 +22,13 @@ from clicktide.operators.attribution import (
 )
 from clicktide.operators.cleaning import (
     annotate_quarantine,
+    clean_purchases,
     cleaned,
     cleaning_summary,
+    defects,
     quarantine_reason_counts,
     quarantined,
+    without_defects,
 )
 from clicktide.operators.facts import build_daily_fact, daily_channel_funnel
 from clicktide.operators.purchases import SESSION_FACTS, extract_purchases, purchase_events
@@ -95,11 +98,18 @@ def _sessions_and_purchases(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
     return segment_sessions(slots), _purchases(prepared, slots)
 
 
-def _tables(prepared: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sessions, purchases and attribution; the days with purchases need no session lookup."""
-    sessions, purchases = _sessions_and_purchases(prepared)
-    bought = with_event_ts(purchase_events(prepared)).withColumnRenamed("ts", "purchase_ts")
-    attribution = attribute_purchases(purchases, sessions, buyers=purchase_days(bought))
+def _tables(
+    prepared: DataFrame, bought: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sessions, purchases and attribution; the days with purchases need no session lookup.
+
+    `bought` may give the purchase events where they come from elsewhere than a filter.
+    """
+    bought = purchase_events(prepared) if bought is None else bought
+    slots = segment_slots(prepared)
+    sessions, purchases = segment_sessions(slots), _purchases(bought, slots)
+    days = purchase_days(with_event_ts(bought).withColumnRenamed("ts", "purchase_ts"))
+    attribution = attribute_purchases(purchases, sessions, buyers=days)
     return sessions, purchases, attribution
 
 
@@ -389,8 +399,10 @@ _register_model("attribution_daily_last_non_direct", "last_non_direct")
 @query("clean_attribution_revenue")
 def clean_attribution_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: quarantine, sessions, purchases, attribution, daily channel revenue."""
-    kept = cleaned(annotate_quarantine(raw_events(spark, sf_dir)))
-    _, _, attribution = _tables(enrich_events(kept))
+    raw = raw_events(spark, sf_dir)
+    bad = defects(raw)
+    kept, bought = without_defects(raw, bad), clean_purchases(raw, bad)
+    _, _, attribution = _tables(enrich_events(kept), bought)
     return _rounded(
         attributed_revenue_for(attribution, "last_non_direct"), 2, "attributed_revenue"
     )

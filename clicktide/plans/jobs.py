@@ -21,7 +21,9 @@ from clicktide.operators.cleaning import (
     cleaned,
     cleaning_manifest,
     cleaning_summary,
+    defects,
     quarantined,
+    without_defects,
 )
 from clicktide.operators.facts import build_daily_fact, daily_channel_funnel
 from clicktide.operators.purchases import SESSION_FACTS, extract_purchases, purchase_events
@@ -55,22 +57,29 @@ def quality_job(
     contract: Contract = Contract(),
     partitions: DataFrame | None = None,
     folder: str | None = None,
+    scope: quality.Scope = quality.DAY_SCOPE,
 ) -> dict[str, DataFrame]:
-    """Profile, check results, scores and decisions, drift, roll-up and blocked partitions."""
-    measures = _keep(quality.partition_measures(events, contract, partitions), folder, "measures")
-    profile = quality.partition_profile(measures)
+    """Profile, check results, scores and decisions, drift, roll-up and blocked partitions.
+
+    `scope=quality.FILE_SCOPE` judges every file on its own.
+    """
+    measures = _keep(
+        quality.partition_measures(events, contract, partitions, scope), folder, "measures"
+    )
+    profile = quality.partition_profile(measures, scope)
     results = _keep(
-        quality.run_all_checks(events, contract, measures=measures), folder, "results"
+        quality.run_all_checks(events, contract, measures=measures, scope=scope), folder, "results"
     )
-    scores = quality.score_partitions(results)
+    scores = quality.score_partitions(results, scope)
+    drift = quality.drift_results(profile, contract, scope)
     tables = {
         "profile": profile,
         "results": results,
         "scores": scores,
-        "drift": quality.drift_results(profile, contract),
+        "drift": drift,
         "rollup": quality.quality_rollup(scores),
-        "blocked": quality.blocked_partitions(scores),
-        "failed_signals": quality.failed_signals(quality.drift_results(profile, contract)),
+        "blocked": quality.blocked_partitions(scores, scope),
+        "failed_signals": quality.failed_signals(drift),
     }
     if folder is not None:
         for name in ("scores", "drift", "rollup"):
@@ -78,23 +87,34 @@ def quality_job(
     return tables
 
 
-def cleaning_job(events: DataFrame, folder: str | None = None) -> dict[str, DataFrame]:
+def cleaning_job(
+    events: DataFrame,
+    folder: str | None = None,
+    scope: quality.Scope = quality.DAY_SCOPE,
+    replace: str = "table",
+) -> dict[str, DataFrame]:
     """Clean and quarantined events, summary and manifest.
 
     With a folder, both sides are written in one pass and read from their own subfolders.
+    `replace="days"` writes anew only the days that `events` holds; the tables returned, and the
+    summary and manifest, then cover all days stored.
     """
-    annotated = annotate_quarantine(events)
+    annotated = annotate_quarantine(events, scope)
     if folder is None:
-        sides = {"cleaned": cleaned(annotated), "quarantined": quarantined(annotated)}
+        bad = defects(events, scope)
+        sides = {
+            "cleaned": without_defects(events, bad, scope),
+            "quarantined": quarantined(annotated),
+        }
     else:
-        annotated = store_annotated(annotated, f"{folder}/events")
+        annotated = store_annotated(annotated, f"{folder}/events", replace)
         status = F.col("status")
         sides = {
             "cleaned": cleaned(annotated.where(status == "clean")).drop("status"),
             "quarantined": annotated.where(status == "quarantine").drop("status"),
         }
         annotated = annotated.drop("status")
-    summary = cleaning_summary(annotated)
+    summary = cleaning_summary(annotated, scope)
     tables = {
         "annotated": annotated,
         **sides,

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from clicktide.settings import Contract
 
+# Rows that only make a partition exist, so that an overwrite replaces it.
+_MARKER = "is_marker"
+
 
 def read_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     """A stored table; CSV keeps its header and reads every column as text."""
@@ -20,14 +23,24 @@ def read_table(spark: SparkSession, path: str, format: str = "parquet") -> DataF
 
 
 def write_by_partition(
-    df: DataFrame, path: str, *partitions: str, format: str = "parquet"
+    df: DataFrame,
+    path: str,
+    *partitions: str,
+    format: str = "parquet",
+    replace: str = "table",
 ) -> str:
     """Write one folder per partition value, by default per day.
 
-    `rebalance` keeps files sensible: small days make few, a hot day is cut into several.
+    `replace="table"` writes the whole table anew; `replace="days"` only the partitions that `df`
+    holds rows of, so that a day can be run again while the others stay. `rebalance` keeps files
+    sensible: small days make few, a hot day is cut into several.
     """
+    if replace not in ("table", "days"):
+        raise ValueError(f"replace is 'table' or 'days', not {replace!r}")
     keys = partitions or ("partition_date",)
-    df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).format(format).save(path)
+    mode = {"table": "static", "days": "dynamic"}[replace]
+    writer = df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy(*keys).format(format).save(path)
     return path
 
 
@@ -52,15 +65,24 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def store_annotated(annotated: DataFrame, path: str) -> DataFrame:
+def store_annotated(annotated: DataFrame, path: str, replace: str = "table") -> DataFrame:
     """Write clean and quarantined rows in one pass, as `status=clean|quarantine` by day.
 
     Returns the stored table; `cleaned` and `quarantined` of it read only their own folders when
-    `status` is filtered.
+    `status` is filtered. `replace="days"` leaves the days that `annotated` does not hold as they
+    are. A day run again replaces both of its sides: each day holds a marker of the side that it has
+    no rows of, so no old quarantine stays behind.
     """
     status = F.when(F.col("quarantine_reason").isNull(), "clean").otherwise("quarantine")
-    write_by_partition(annotated.withColumn("status", status), path, "status", "partition_date")
-    return read_by_partition(annotated.sparkSession, path)
+    rows = annotated.withColumn("status", status).withColumn(_MARKER, F.lit(False))
+    if replace == "days":
+        days = annotated.select("partition_date").distinct()
+        sides = days.withColumn("status", F.explode(F.array(F.lit("clean"), F.lit("quarantine"))))
+        marks = sides.withColumn(_MARKER, F.lit(True))
+        rows = rows.unionByName(marks, allowMissingColumns=True)
+    write_by_partition(rows, path, "status", "partition_date", replace=replace)
+    stored = read_by_partition(annotated.sparkSession, path)
+    return stored.where(~F.col(_MARKER)).drop(_MARKER)
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

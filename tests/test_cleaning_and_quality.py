@@ -10,10 +10,14 @@ from clicktide.operators.cleaning import (
     INVALID,
     REPLAY,
     annotate_quarantine,
+    clean_purchases,
     cleaned,
     cleaning_manifest,
     cleaning_summary,
+    defects,
+    quarantine_reason_counts,
     quarantined,
+    without_defects,
 )
 from clicktide.settings import Contract
 
@@ -342,3 +346,99 @@ def test_known_scores_roll_up(spark):
     )
     got = sorted(r.partition_date for r in quality.blocked_partitions(df).collect())
     assert got == ["20250226", "20250227", "20250301", "20250308"]
+
+
+def mixed_rows(rng, n=400):
+    """Purchases of every kind and other events, in files of two days."""
+    rows = []
+    for _ in range(n):
+        tx = "hot" if rng.random() < 0.35 else rng.choice([None, "", *[f"t{k}" for k in range(40)]])
+        day = rng.choice(["20250227", "20250228", None])
+        row = purchase(tx, revenue=rng.choice([0, 7, 7, 9, "x"]), second=rng.randrange(20), partition_date=day)
+        row["timestamp"] = rng.choice([row["timestamp"], row["timestamp"], "no time"])
+        if rng.random() < 0.2:
+            row["event_name"] = rng.choice(["page_viewed", None])
+        if rng.random() < 0.05:
+            row["event_data"] = rng.choice([None, "{bad", "null", "[]"])
+        rows.append(row)
+    return rows
+
+
+@pytest.mark.parametrize("scope", [("partition_date",), (), ("source_file", "partition_date")])
+def test_defects_leave_the_same_rows_as_annotation(make_events, scope):
+    rng = random.Random(11)
+    rows = mixed_rows(rng)
+    rows += rows[:40]  # rows equal in all but the id
+    events = make_events(rows).withColumn("source_file", F.concat(F.lit("f"), F.col("event_id") % 3))
+    # Ids that repeat: a key is then shared by different rows.
+    events = events.withColumn("event_id", F.col("event_id") % 97)
+    columns = [c for c in events.columns]
+    annotated = annotate_quarantine(events, scope)
+    bad = defects(events, scope)
+    want = sorted(cleaned(annotated).select(*columns).collect(), key=str)
+    assert sorted(without_defects(events, bad, scope).select(*columns).collect(), key=str) == want
+    bought = [r for r in want if r.event_name == "checkout_completed"]
+    assert sorted(clean_purchases(events, bad, scope).select(*columns).collect(), key=str) == bought
+    assert len(want) < len(rows) and bought
+    assert {r.quarantine_reason for r in bad.collect()} == {INVALID, COLLISION, REPLAY}
+
+
+def test_files_of_one_date_are_cleaned_and_scored_apart(make_events):
+    """The same order in two files of a day: a collision by day, none by file."""
+    events = make_events([purchase("t", revenue=1), purchase("t", revenue=2), purchase("b", revenue=0)])
+    events = events.withColumn("source_file", F.when(F.col("event_id") == 1, "events_b.csv").otherwise("events_a.csv"))
+    assert set(reasons(events).values()) == {COLLISION, INVALID}
+    scope = quality.FILE_SCOPE
+    assert reasons(events, scope=scope) == {0: None, 1: None, 2: INVALID}
+    annotated = annotate_quarantine(events, scope)
+    summary = {r.source_file: r for r in cleaning_summary(annotated, scope).collect()}
+    assert (summary["events_a.csv"].clean_rows, summary["events_a.csv"].quarantine_rows) == (1, 1)
+    assert (summary["events_b.csv"].clean_rows, summary["events_b.csv"].quarantine_rows) == (1, 0)
+    counts = quarantine_reason_counts(annotated, scope).collect()
+    assert [(r.source_file, r.quarantine_reason, r["rows"]) for r in counts] == [("events_a.csv", INVALID, 1)]
+    manifest = {r.source_file: r for r in cleaning_manifest(cleaning_summary(annotated, scope)).collect()}
+    assert manifest["events_a.csv"].quarantine_reason_counts == {INVALID: 1}
+
+
+def test_quality_per_file(make_events):
+    """Measures, checks, scores and drift of two files of one date and one of the next."""
+    rows = [
+        purchase("t", revenue=1), purchase("t", revenue=2), purchase("u"),
+        {"timestamp": "2025-02-28T10:00:00Z", "client_id": None},
+    ]
+    events = make_events(rows).withColumn(
+        "source_file", F.element_at(F.array(*[F.lit(f"events_{k}.csv") for k in "abac"]), (F.col("event_id") + 1).cast("int"))
+    )
+    scope = quality.FILE_SCOPE
+    measures = quality.partition_measures(events, scope=scope)
+    profile = {r.source_file: r for r in quality.partition_profile(measures, scope).collect()}
+    assert {k: (r["rows"], r.purchase_count, r.revenue_sum) for k, r in profile.items()} == {
+        "events_a.csv": (2, 2, 11.0), "events_b.csv": (1, 1, 2.0), "events_c.csv": (1, 0, 0.0)
+    }
+    found = quality.run_all_checks(events, scope=scope)
+    collided = found.where("check_id = 'purchase.transaction_id_collision'").collect()
+    assert {r.source_file: r.passed for r in collided} == {"events_a.csv": True, "events_b.csv": True}
+    by_day = quality.run_all_checks(events).where("check_id = 'purchase.transaction_id_collision'").collect()
+    assert [r.passed for r in by_day] == [False]
+    scores = quality.score_partitions(found, scope)
+    assert scores.count() == 3 and scores.select("source_file").distinct().count() == 3
+    drift = quality.schema_drift(quality.partition_profile(measures, scope), scope=scope).collect()
+    assert [(r.source_file, r.prev_date) for r in sorted(drift, key=lambda r: r.source_file)] == [
+        ("events_b.csv", "20250227"), ("events_c.csv", "20250227")
+    ]
+    assert quality.blocked_partitions(scores, scope).columns[:2] == ["source_file", "partition_date"]
+    assert quality.drift_results(quality.partition_profile(measures, scope), scope=scope).count() == 5
+
+
+def test_headers_of_two_files_of_a_date_are_one_partition(spark, make_events):
+    """Files without rows widen a day's columns and do not repeat its rows."""
+    events = make_events([purchase("t")])
+    headers = spark.createDataFrame(
+        [("20250227", "a.csv", ["event_name"]), ("20250227", "b.csv", ["referrer"]), ("20250301", "c.csv", ["x"])],
+        "partition_date string, source_file string, columns array<string>",
+    )
+    got = {r.partition_date: r["rows"] for r in quality.partition_measures(events, partitions=headers).collect()}
+    assert got == {"20250227": 1, "20250301": 0}
+    with_files = events.withColumn("source_file", F.lit("a.csv"))
+    got = quality.partition_measures(with_files, partitions=headers, scope=quality.FILE_SCOPE).collect()
+    assert {r.source_file: r["rows"] for r in got} == {"a.csv": 1, "b.csv": 0, "c.csv": 0}

@@ -157,3 +157,38 @@ def test_csv_and_parquet_round_trip(spark, tmp_path):
         path = tables.write_table(df, str(tmp_path / kind), kind)
         back = tables.read_table(spark, path, kind)
         assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_a_day_run_again_leaves_the_other_days(spark, make_events, tmp_path):
+    rows = [{"timestamp": f"2025-02-2{d}T10:00:00Z", "page_url": u} for d in (7, 8) for u in "ab"]
+    path = str(tmp_path / "t")
+    tables.write_by_partition(make_events(rows), path)
+    again = make_events([{"timestamp": "2025-02-28T10:00:00Z", "page_url": "new"}])
+    tables.write_by_partition(again, path, replace="days")
+    got = {(r.partition_date, r.page_url) for r in tables.read_by_partition(spark, path).collect()}
+    assert got == {("20250227", "a"), ("20250227", "b"), ("20250228", "new")}
+    tables.write_by_partition(again, path)
+    assert tables.read_by_partition(spark, path).count() == 1
+    with pytest.raises(ValueError):
+        tables.write_by_partition(again, path, replace="day")
+
+
+def test_cleaning_a_day_again_replaces_both_sides(spark, make_events, tmp_path):
+    """The second run of a day has no bad row left, and none of the first run stays."""
+
+    def sold(day, tx, revenue):
+        stamp = f"2025-02-{day}T10:00:00Z"
+        return {"timestamp": stamp, "event_name": "checkout_completed", "event_data": body(tx, revenue)}
+
+    out = str(tmp_path / "clean")
+    first = make_events([sold(27, "a", 5), sold(27, "b", 0), sold(28, "c", 5), sold(28, "d", 0)])
+    jobs.cleaning_job(first, out, replace="days")
+    mended = make_events([sold(28, "c", 5), sold(28, "d", 3), sold(28, "e", 4)])
+    made = jobs.cleaning_job(mended, out, replace="days")
+    sides = {r.partition_date: (r.clean_rows, r.quarantine_rows) for r in made["summary"].collect()}
+    assert sides == {"20250227": (1, 1), "20250228": (3, 0)}
+    assert [r.partition_date for r in made["quarantined"].collect()] == ["20250227"]
+    assert made["cleaned"].count() == 4 and "is_marker" not in made["cleaned"].columns
+    # The same run once more changes nothing.
+    made = jobs.cleaning_job(mended, out, replace="days")
+    assert made["cleaned"].count() == 4 and made["quarantined"].count() == 1
