@@ -49,6 +49,14 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh_name(frame: DataFrame, stem: str) -> str:
+    """A column name that the frame does not have, whatever its case."""
+    taken, name = {c.lower() for c in frame.columns}, f"__{stem}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column | str) -> Column:
     """A-Z in lower case, everything else as it is."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -98,4 +98,39 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op2_decontamination": OP2, "op3_quality_rules": OP3, "op5_chat_formatting": OP5}
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), g AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS b,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 AS plain,
+         CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 AS spm
+  FROM d
+), p AS (
+  SELECT doc_id, text, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+         coalesce(array_to_string(units[1 : least(a, b)], ''), '') AS prefix,
+         coalesce(array_to_string(units[least(a, b) + 1 : greatest(a, b)], ''), '') AS middle,
+         coalesce(array_to_string(units[greatest(a, b) + 1 : n], ''), '') AS suffix
+  FROM g
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_decontamination": OP2,
+    "op3_quality_rules": OP3,
+    "op5_chat_formatting": OP5,
+    "op13_fill_middle": OP13,
+}

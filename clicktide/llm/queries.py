@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import binary_ids, chat, decontaminate, language, packing, pii, quality_rules, simhash, token_counts, toxicity
+from clicktide.llm import (
+    binary_ids,
+    chat,
+    decontaminate,
+    fill_middle,
+    importance,
+    language,
+    packing,
+    pii,
+    quality_network,
+    quality_rules,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from clicktide.llm.common import store, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,6 +98,29 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learnable = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    model = quality_network.fit(documents, learnable)
+    scored = quality_network.score(documents, model)
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resample(
+        documents, benchmark, buckets=10_000, longest=1, percent=10, least_words=20, seed=2024
+    )
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fill_middle.digest(fill_middle.transform(documents, seed=42, rate=50, spm=80))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -95,4 +132,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_fill_middle": op13_fill_middle,
 }
