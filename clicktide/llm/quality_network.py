@@ -39,7 +39,7 @@ POOLED = 3 * DIMS
 #: Labelled rows that a network is fitted on at most.
 ROWS = 20_000
 #: Words whose vectors are held at a time, words whose place is remembered, characters cut into words at a time.
-STEP, REMEMBERED, STRETCH = 1 << 15, 200_000, 1 << 20
+STEP, REMEMBERED, STRETCH = 1 << 13, 200_000, 1 << 20
 WORD = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 
 
@@ -139,14 +139,14 @@ def pooled(own: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     total, squares, products = (np.zeros(DIMS) for _ in range(3))
     for low in range(0, len(own), STEP):
         near = vectors[own[max(low - 1, 0) : low + STEP]]
-        products += (near[1:] * near[:-1]).sum(axis=0)
+        products += np.einsum("ij,ij->j", near[1:], near[:-1])
         near = near[1:] if low else near
         total += near.sum(axis=0)
-        squares += (near * near).sum(axis=0)
+        squares += np.einsum("ij,ij->j", near, near)
     n = max(len(own), 1)
     mean = total / n
     spread = np.sqrt(np.maximum(squares / n - mean * mean, 0))
-    return np.concatenate([mean, spread, products / max(len(own) - 1, 1)])
+    return np.concatenate([mean, spread, products / max(len(own) - 1, 1)]).astype(np.float32)
 
 
 # --- The network -----------------------------------------------------------------------------------
@@ -243,7 +243,7 @@ def train(
 
 
 def pool(documents: DataFrame, vectors: np.ndarray, text: str, into: str) -> DataFrame:
-    """All columns but the text, and the pooled vector `into` as little-endian doubles."""
+    """All columns but the text, and the pooled vector `into` as little-endian 32-bit floats."""
     place = documents.columns.index(text)
     fields = [f for k, f in enumerate(documents.schema.fields) if k != place]
     schema = T.StructType([*fields, T.StructField(into, T.BinaryType())])
@@ -253,7 +253,7 @@ def pool(documents: DataFrame, vectors: np.ndarray, text: str, into: str) -> Dat
         places = Places()
         for batch in batches:
             for block in text_blocks(batch, place):
-                found = [pooled(words(t.as_py(), places), sent.value).astype("<f8").tobytes() for t in block.column(place)]
+                found = [pooled(words(t.as_py(), places), sent.value).astype("<f4").tobytes() for t in block.column(place)]
                 kept = [c for k, c in enumerate(block.columns) if k != place]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.binary())], schema.names)
 
@@ -275,7 +275,7 @@ def fit(
     sample = pool(met, vectors, "text", "pooled").distinct()
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "pooled").limit(rows)
     found = sorted(sample.collect(), key=lambda r: (r.doc_id, r.label, bytes(r.pooled)))
-    x = np.array([np.frombuffer(r.pooled, "<f8") for r in found]).reshape(-1, POOLED)
+    x = np.array([np.frombuffer(r.pooled, "<f4") for r in found]).reshape(-1, POOLED).astype(float)
     return train(x, np.array([r.label for r in found], np.int64), vectors)
 
 
@@ -293,7 +293,7 @@ def score(documents: DataFrame, model: Network, text: str = "text", into: str =
             for block in text_blocks(batch, place):
                 own = sent.value
                 x = np.array([pooled(words(t.as_py(), places), own.vectors) for t in block.column(place)])
-                scores = own.score(x.reshape(-1, POOLED))
+                scores = own.score(x.reshape(-1, POOLED).astype(float))
                 yield pa.RecordBatch.from_arrays([*block.columns, pa.array(scores, pa.float64())], schema.names)
 
     return documents.mapInArrow(work, schema)
