@@ -29,6 +29,10 @@ from clicktide.llm import common, tokens
 MAGIC = b"EFIDS001"
 #: A shard is closed at so many ids; a longer document is a shard of its own.
 SHARD_IDS = 4 << 20
+#: A shard is also closed at so many documents.
+SHARD_DOCS = 1 << 18
+#: Numbers that are packed or unpacked at a time, a multiple of eight.
+SLICE = 1 << 16
 #: A select sample for so many ones of the high bits.
 SAMPLE = 256
 
@@ -49,14 +53,19 @@ class EliasFano:
         n = len(values)
         most = int(values[-1]) if n else 0
         low_bits = max(0, (most // n).bit_length() - 1) if n else 0
-        bits = (values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)
+        places = np.arange(low_bits, dtype=np.uint64)
+        # A slice has whole bytes, as its length is a multiple of eight.
+        low = [
+            np.packbits((values[at : at + SLICE, None] >> places & np.uint64(1)).astype(np.uint8), bitorder="little")
+            for at in range(0, n, SLICE)
+        ]
         ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
         high[ones] = 1
         return cls(
             n,
             low_bits,
-            np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"),
+            np.concatenate([np.zeros(0, np.uint8), *low]),
             np.packbits(high, bitorder="little"),
             ones[::SAMPLE].astype("<u4"),
         )
@@ -82,11 +91,17 @@ class EliasFano:
 
     def all(self) -> np.ndarray:
         """Every value, decoded at once."""
-        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little")) - np.arange(self.count)
-        low = np.unpackbits(self.low, bitorder="little")[: self.count * self.low_bits]
+        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.count] - np.arange(self.count)
+        values = high.astype(np.uint64) << np.uint64(self.low_bits)
         weights = np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64)
-        low = low.reshape(self.count, self.low_bits).astype(np.uint64) @ weights if self.low_bits else np.uint64(0)
-        return (high.astype(np.uint64) << np.uint64(self.low_bits)) + low
+        if self.low_bits:
+            for at in range(0, self.count, SLICE):
+                own = values[at : at + SLICE]
+                bits = np.unpackbits(
+                    self.low[at * self.low_bits // 8 :], count=len(own) * self.low_bits, bitorder="little"
+                )
+                own += bits.reshape(len(own), self.low_bits) @ weights
+        return values
 
     def to_bytes(self) -> bytes:
         head = struct.pack("<QIII", self.count, self.low_bits, len(self.low), len(self.high))
@@ -159,9 +174,7 @@ class Shard:
 
 def put(folder: str, name: str, data: bytes) -> None:
     """Write a file under a name of this attempt and rename it, so that a lost attempt leaves no half file."""
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    store, path = common.files_of(folder)
     attempt = f"{path}/_{name}-{TaskContext.get().taskAttemptId()}"
     with store.open_output_stream(attempt) as out:
         out.write(data)
@@ -179,15 +192,18 @@ def write_shards(
 ) -> DataFrame:
     """Write all documents in ascending doc_id order; return the manifest (partition, shard, n_docs, n_ids).
 
-    Documents are dealt by ranges of (doc_id, hash of the text), so a repeated doc_id may span files. Null
-    doc_ids come first, null texts hold `end_id` only, an empty table writes nothing. The folder must exist
+    Documents are dealt by ranges of (doc_id, hash of the text, row), so a repeated doc_id may span files and
+    copies equal in both may be many. Ids are whole numbers: others are cast, and count as null where that
+    fails under the session's rules. Null doc_ids come first, null texts hold `end_id` only, an empty table writes nothing. The folder must exist
     for driver and executors alike. File names follow the order: partition, then shard.
     """
     spark = documents.sparkSession
+    folder = common.qualified(spark, folder)
     common.make_folder(spark, folder)
     chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    keyed = chosen.withColumn("tie", F.xxhash64("text"))
-    ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    keyed = chosen.withColumn("tie", F.xxhash64("text")).withColumn("copy", F.monotonically_increasing_id())
+    dealt = keyed.repartitionByRange("doc_id", "tie", "copy")
+    ordered = dealt.sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, shard = TaskContext.get().partitionId(), 0
@@ -213,6 +229,7 @@ def write_shards(
             bounds, at = np.concatenate([[0], np.cumsum(sizes)]), 0
             while at < len(docs):
                 to = int(np.searchsorted(bounds, bounds[at] + shard_ids - held, "right")) - 1
+                to = min(to, at + SHARD_DOCS - len(names))
                 if to <= at and held:
                     close()
                     continue

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -20,13 +22,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new path below spark.checkpoint.dir, which driver and executors share.
+def shared_root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which driver and executors share.
 
-    Where the setting is missing (tests), the session's warehouse folder is used instead.
+    Where it is not set, a session of one process (`local[...]`) gets a folder of its own; on a cluster that is
+    an error, as no other folder is sure to be shared.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = f"file://{tempfile.gettempdir()}/llm-{spark.sparkContext.applicationId}"
+    return root
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with scheme and host, as Spark resolves it; tasks that open files need it so."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new path below the shared folder."""
+    return qualified(spark, f"{shared_root(spark).rstrip('/')}/llm-{uuid.uuid4().hex}")
+
+
+def files_of(folder: str) -> tuple:
+    """The file system and the path of a qualified folder, for tasks."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)
 
 
 def store(frame: DataFrame, folder: str | None = None) -> DataFrame:

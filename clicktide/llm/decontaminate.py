@@ -5,11 +5,16 @@ sequences inside items. Documents stream through it word by word: the state says
 ends here. A match of `window` words or more covers its words; so does a whole item shorter than that.
 
 Tasks deal the items into blocks of bounded size (a longer item is cut into pieces that share window - 1
-words) and write an automaton of each into the shared folder. Documents meet one block per pass, and each
-pass but the last is stored, so a large benchmark costs more passes, not more memory: a Python worker holds
-one automaton, the driver the blocks' names. Words that the items do not know
-and pairs of words that follow each other in no item cannot lie in a match of two words, so only runs of
-known pairs enter the automaton; the rest of the text is skipped with array operations.
+words) and write an automaton of each into the shared folder. A benchmark of one block is one pass over the
+documents. A larger one takes three steps: hashes of all windows, 64 bits each and four million a pass, name the
+texts and the blocks that may meet; only those texts go through those automata, once for each block, copies of
+a text once; the spans found are joined back by the text's digest. So a Python worker holds one automaton or one
+table of hashes, what is stored grows with the hits, and the driver sees the blocks' names.
+
+Within an automaton a step costs the same at any depth: every state knows the state of its last `window` words
+and the nearest whole short item among its suffixes. Words that the items do not know and pairs of words that
+follow each other in no item cannot lie in a match of two words, so only runs of known pairs enter the
+automaton; the rest of the text is skipped with array operations.
 
 Null texts and texts without words have no hits. Items with null or wordless texts match nothing; repeated
 items count as their own ids. Item ids are compared as strings. Other columns stay untouched.
@@ -24,18 +29,23 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicktide.llm.binary_ids import put
-from clicktide.llm.common import make_folder, remove, shared_folder, store, text_blocks
+from clicktide.llm.common import files_of, fresh_name, make_folder, qualified, shared_folder, store, text_blocks
 
 #: Words per automaton; a larger benchmark is split into several.
 BLOCK_WORDS = 200_000
 #: Characters of items that one task deals into blocks, as a multiple of BLOCK_WORDS (about four blocks).
 TASK_CHARS = 24
+#: Hashes of windows that a worker holds in a pass, words whose hash it remembers, the factor of rolling hashes.
+TABLE_HASHES, REMEMBERED, MULTIPLIER = 4 << 20, 200_000, np.uint64(0x9E3779B97F4A7C15)
+#: Hits up to this size are broadcast.
+BROADCAST_BYTES = 64 << 20
 #: A-Z lowered; everything but letters, digits and bytes beyond ASCII cuts words.
 NORMAL = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -79,6 +89,13 @@ class Automaton:
         self.pairs = np.array(sorted(pairs), np.int64)
         #: Words that are an item of their own; they match without a neighbour.
         self.single = np.zeros(size + 1, bool)
+        by_length = sorted(range(len(self.next)), key=self.length.__getitem__)
+        #: For each state of `window` words or more, the state of its last `window` words.
+        self.window_state = [-1] * len(self.next)
+        for state in by_length:
+            if self.length[state] >= window:
+                above = self.link[state]
+                self.window_state[state] = state if self.length[above] < window else self.window_state[above]
         # The states of whole windows, and for each the items that hold one.
         self.at_window: dict[int, set[int]] = {}
         self.whole: dict[int, set[int]] = {}  # state of a whole short item: its items
@@ -87,13 +104,17 @@ class Automaton:
             for place, word in enumerate(sequence):
                 state, matched = self.step(state, matched, word)
                 if place + 1 >= window:
-                    self.at_window.setdefault(self.cut(state, window), set()).add(number)
+                    self.at_window.setdefault(self.window_state[state], set()).add(number)
             if 0 < len(sequence) < window:
-                self.whole.setdefault(self.cut(state, len(sequence)), set()).add(number)
+                self.whole.setdefault(state, set()).add(number)
                 if len(sequence) == 1:
                     self.single[sequence[0]] = True
         #: The lengths of whole short items at a state and above it, with the items.
         self.short_lengths = {s: len(sequences[next(iter(found))]) for s, found in self.whole.items()}
+        #: The nearest state of a whole short item, from the state itself upwards (0: none).
+        self.short_state = [0] * len(self.next)
+        for state in by_length[1:]:
+            self.short_state[state] = state if state in self.whole else self.short_state[self.link[state]]
 
     def _extend(self, last: int, word: int) -> int:
         nexts, link, length = self.next, self.link, self.length
@@ -134,29 +155,36 @@ class Automaton:
         after = self.next[state].get(word)
         return (0, 0) if after is None else (after, matched + 1)
 
-    def cut(self, state: int, words: int) -> int:
-        """The state of the last `words` words of a match."""
-        while self.length[self.link[state]] >= words:
-            state = self.link[state]
-        return state
-
     def scan(self, words: np.ndarray, first: int, spans: list[tuple[int, int]], found: set[int]) -> None:
-        """Stream a run of word numbers; add covered spans (places from `first`) and matched items."""
+        """Stream a run of word numbers; add covered spans (places from `first`) and matched items.
+
+        `spans` stays in order and disjoint; a new one swallows those at its end that it meets.
+        """
         state, matched = 0, 0
-        short = bool(self.whole)
+        seen: set[int] = set()
+
+        def add(start: int, end: int) -> None:
+            while spans and spans[-1][1] >= start:
+                start = min(start, spans.pop()[0])
+            spans.append((start, end))
+
         for place, word in enumerate(words.tolist(), first):
             state, matched = self.step(state, matched, word)
             if matched >= self.window:
-                spans.append((place - matched + 1, place + 1))
-                found |= self.at_window[self.cut(state, self.window)]
-            if short:
-                above = state
-                while above:
-                    length = self.short_lengths.get(above)
-                    if length is not None and length <= matched:
-                        spans.append((place - length + 1, place + 1))
+                add(place - matched + 1, place + 1)
+                at = self.window_state[state]
+                if at not in seen:
+                    seen.add(at)
+                    found |= self.at_window[at]
+            above = self.short_state[state]
+            while above:  # whole short items of different lengths, fewer than `window`
+                length = self.short_lengths[above]
+                if length <= matched:
+                    add(place - length + 1, place + 1)
+                    if above not in seen:
+                        seen.add(above)
                         found |= self.whole[above]
-                    above = self.link[above]
+                above = self.short_state[self.link[above]]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -213,9 +241,47 @@ class Scanner:
             yield len(words), merged(spans[k]), sorted(items[k])
 
 
+def window_hashes(words: np.ndarray, lengths: list[int]) -> dict[int, np.ndarray]:
+    """Per length, the hash of every run of so many words; `words` are 64-bit hashes of words."""
+    out = {}
+    for length in lengths:
+        code = np.zeros(max(len(words) - length + 1, 0), np.uint64)
+        for k in range(length):
+            code = code * MULTIPLIER + words[k : k + len(code)]
+        out[length] = code
+    return out
+
+
+class WordHashes(dict):
+    """64-bit hash of a word; the dictionary starts anew at a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
+
+    def array(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def block_hashes(block: list[tuple[str, list[bytes]]], window: int) -> dict[int, np.ndarray]:
+    """Per length, the sorted hashes of the windows of a block's items (a shorter item is one window)."""
+    held: dict[int, list[np.ndarray]] = {}
+    hashes = WordHashes()
+    for _, words in block:
+        length = min(window, len(words))
+        held.setdefault(length, []).append(window_hashes(hashes.array(words), [length])[length])
+    return {length: np.unique(np.concatenate(parts)) for length, parts in held.items()}
+
+
 def write_blocks(benchmark: DataFrame, window: int, item_id: str, text: str, folder: str) -> list[str]:
-    """Write a scanner for each block of the benchmark into the folder; return their names, one at least."""
+    """Write a scanner and the hashes of each block of the benchmark into the folder; return the blocks' names.
+
+    There is one name at least; the last part of a name is the number of its hashes.
+    """
     spark = benchmark.sparkSession
+    folder = qualified(spark, folder)
     make_folder(spark, folder)
     rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("i IS NOT NULL")
     chars = rows.agg(F.sum(F.length("t").cast("long"))).first()[0] or 0
@@ -225,8 +291,10 @@ def write_blocks(benchmark: DataFrame, window: int, item_id: str, text: str, fol
         task, names, block, size = TaskContext.get().partitionId(), [], [], 0
 
         def close() -> None:
-            names.append(f"{task}-{len(names)}")
+            hashes = block_hashes(block, window)
+            names.append(f"{task}-{len(names)}-{sum(map(len, hashes.values()))}")
             put(folder, names[-1], pickle.dumps(Scanner([Automaton(block, window)])))
+            put(folder, f"{names[-1]}.hashes", pickle.dumps(hashes))
 
         for batch in batches:
             for part in text_blocks(batch, 1):
@@ -246,22 +314,56 @@ def write_blocks(benchmark: DataFrame, window: int, item_id: str, text: str, fol
     return sorted(names) or [""]
 
 
+def read_file(folder: str, name: str) -> bytes:
+    shared, path = files_of(folder)
+    with shared.open_input_stream(f"{path}/{name}") as file:
+        return file.read()
+
+
+class WindowTable:
+    """The hashes of several blocks: which blocks may match a text."""
+
+    def __init__(self, folder: str, names: list[str]):
+        self.names = names
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for number, name in enumerate(names):
+            for length, hashes in pickle.loads(read_file(folder, f"{name}.hashes")).items():
+                held.setdefault(length, []).append((hashes, np.full(len(hashes), number, np.int32)))
+        self.tables = {}
+        for length, parts in held.items():
+            hashes, blocks = (np.concatenate([p[k] for p in parts]) for k in range(2))
+            order = np.argsort(hashes, kind="stable")
+            self.tables[length] = hashes[order], blocks[order]
+
+    def texts(self, texts: pa.Array, hashes: WordHashes) -> list[tuple[int, int]]:
+        """Distinct (text, block) pairs that share a hash."""
+        lists = [words_of(t) for t in texts.to_pylist()]
+        words = np.concatenate([np.zeros(0, np.uint64), *map(hashes.array, lists)])
+        owner = np.repeat(np.arange(len(lists)), [len(ws) for ws in lists])
+        found: list[np.ndarray] = []
+        for length, code in window_hashes(words, list(self.tables)).items():
+            table, blocks = self.tables[length]
+            low, high = np.searchsorted(table, code, "left"), np.searchsorted(table, code, "right")
+            met = np.flatnonzero((high > low) & (owner[: len(code)] == owner[length - 1 : length - 1 + len(code)]))
+            times = (high - low)[met]
+            place = np.repeat(low[met], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            found.append(np.repeat(owner[met], times) * len(self.names) + blocks[place])
+        pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
+        return [divmod(int(pair), len(self.names)) for pair in pairs]
+
+
 #: The block that this Python worker read last, by path.
 HELD: dict[str, Scanner] = {}
 
 
 def block_of(folder: str, name: str, window: int) -> Scanner:
     """A scanner from the shared folder; a worker keeps the last one only. Without a name it knows no items."""
-    from pyarrow import fs
-
     if not name:
         return Scanner([Automaton([], window)])
     whole = f"{folder}/{name}"
     if whole not in HELD:
         HELD.clear()
-        shared, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-        with shared.open_input_stream(f"{path}/{name}") as file:
-            HELD[whole] = pickle.loads(file.read())
+        HELD[whole] = pickle.loads(read_file(folder, name))
     return HELD[whole]
 
 
@@ -274,6 +376,9 @@ FOUND = T.StructType(
 )
 
 
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
 def find(documents: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", into: str = "found",
          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """All rows and columns with a struct `into`: n_words, spans (disjoint, in words, half-open) and items.
@@ -282,42 +387,104 @@ def find(documents: DataFrame, benchmark: DataFrame, window: int = 10, text: str
     """
     spark = documents.sparkSession
     out = documents.drop(into)
+    folder = shared_folder(spark)
+    blocks = write_blocks(benchmark, window, item_id, item_text, folder)
+    if len(blocks) > 1:
+        return joined(out, hits(out.select(F.col(f"`{text}`").alias("text")), folder, blocks, window), text, into)
     schema = T.StructType([*out.schema.fields, T.StructField(into, FOUND)])
     place, names = out.columns.index(text), schema.names
-    folder = shared_folder(spark)
-    kind = pa.struct(
-        [
-            ("n_words", pa.int64()),
-            ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            ("items", pa.list_(pa.string())),
-        ]
-    )
-    blocks, last = write_blocks(benchmark, window, item_id, item_text, folder), None
-    for number, name in enumerate(blocks):
+    kind = pa.struct([("n_words", pa.int64()), ("spans", SPANS), ("items", pa.list_(pa.string()))])
 
-        def scan(batches: Iterator[pa.RecordBatch], name=name, number=number) -> Iterator[pa.RecordBatch]:
-            own = block_of(folder, name, window)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = block_of(folder, blocks[0], window)
+        for batch in batches:
+            for block in text_blocks(batch, place):
+                rows = [
+                    {"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": items}
+                    for n, spans, items in own.texts(block.column(place))
+                ]
+                yield pa.RecordBatch.from_arrays([*block.columns, pa.array(rows, kind)], names)
+
+    return out.mapInArrow(scan, schema)
+
+
+def hits(texts: DataFrame, folder: str, blocks: list[str], window: int) -> DataFrame:
+    """(key, spans, items) of every distinct text with a hit, over all blocks; stored. `key` is the text's MD5."""
+    keyed = texts.where("text IS NOT NULL").select(F.md5("text").alias("key"), "text")
+    groups: list[list[str]] = [[]]
+    size = 0
+    for name in blocks:
+        own = int(name.rsplit("-", 1)[1])
+        if groups[-1] and size + own > TABLE_HASHES:
+            groups.append([])
+            size = 0
+        groups[-1].append(name)
+        size += own
+
+    def filtered(names: list[str]) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table, hashes = WindowTable(folder, names), WordHashes()
             for batch in batches:
-                for block in text_blocks(batch, place):
-                    rows = [
-                        {"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": items}
-                        for n, spans, items in own.texts(block.column(place))
-                    ]
-                    if number:  # what the blocks before have found
-                        for k, before in enumerate(block.column(len(names) - 1).to_pylist()):
-                            if before["spans"]:
-                                both = [(s["start"], s["end"]) for s in before["spans"] + rows[k]["spans"]]
-                                rows[k]["spans"] = [{"start": a, "end": b} for a, b in merged(both)]
-                                rows[k]["items"] = sorted({*before["items"], *rows[k]["items"]})
-                    columns = block.columns[: len(names) - 1]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, kind)], names)
-
-        out = out.mapInArrow(scan, schema)
-        if number < len(blocks) - 1:
-            kept, out = last, store(out, last := f"{folder}-{number}")
-            if kept:
-                remove(spark, kept)
-    return out
+                for block in text_blocks(batch, 1):
+                    pairs = table.texts(block.column(1), hashes)
+                    rows = pa.array([p[0] for p in pairs], pa.int32())
+                    met = pa.array([names[p[1]] for p in pairs], pa.string())
+                    yield pa.RecordBatch.from_arrays([met, *(c.take(rows) for c in block.columns)], ["block", "key", "text"])
+
+        return keyed.mapInArrow(work, "block string, key string, text string")
+
+    candidates = filtered(groups[0])
+    for names in groups[1:]:
+        candidates = candidates.unionByName(filtered(names))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in text_blocks(batch, 2):
+                rows = []
+                names, keys = block.column(0).to_pylist(), block.column(1).to_pylist()
+                for k, name in enumerate(names):
+                    for _, spans, items in block_of(folder, name, window).texts(block.column(2).slice(k, 1)):
+                        rows.append((keys[k], [{"start": a, "end": b} for a, b in spans], items))
+                kinds = (pa.string(), SPANS, pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["key", "spans", "items"]
+                )
+
+    # A block's texts are spread over all tasks; a task takes its rows block by block.
+    once = candidates.dropDuplicates(["block", "key"]).repartition("block", "key").sortWithinPartitions("block")
+    span = "array<struct<start:bigint,end:bigint>>"
+    found = once.mapInArrow(scan, f"key string, spans {span}, items array<string>").where(F.size("spans") > 0)
+    whole = found.groupBy("key").agg(
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+
+    def merge(done: Column, s: Column) -> Column:
+        last = F.element_at(done, -1)
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        swallowed = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(wider))
+        meets = (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] >= s["start"])
+        return F.when(meets, swallowed).otherwise(F.concat(done, F.array(s)))
+
+    return store(whole.withColumn("spans", F.aggregate("spans", F.array().cast(span), merge)))
+
+
+def joined(documents: DataFrame, found: DataFrame, text: str, into: str) -> DataFrame:
+    """The documents with the struct `into` from the hits of their texts, broadcast where those are few."""
+    key = fresh_name(documents, "key")
+    size = F.sum(F.lit(96) + 16 * F.size("spans") + F.length(F.array_join("items", ",")))
+    small = (found.agg(size).first()[0] or 0) <= BROADCAST_BYTES
+    renamed = found.select(F.col("key").alias(key), F.struct("spans", "items").alias(f"{key}hit"))
+    keyed = documents.withColumn(key, F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    met = keyed.join(F.broadcast(renamed) if small else renamed, key, "left")
+    n_words = F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD.pattern)).cast("long")
+    hit = F.col(f"{key}hit")
+    whole = F.struct(
+        n_words.alias("n_words"),
+        F.coalesce(hit["spans"], F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"),
+        F.coalesce(hit["items"], F.array().cast("array<string>")).alias("items"),
+    )
+    return met.select(*[F.col(f"`{c}`") for c in documents.columns], whole.alias(into))
 
 
 def digest(documents: DataFrame, doc_id: str = "doc_id", found: str = "found") -> DataFrame:

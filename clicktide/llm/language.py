@@ -94,6 +94,8 @@ def counted(owner: np.ndarray, signs: np.ndarray, at: int) -> tuple[np.ndarray,
     alphabet, dense = np.unique(signs, return_inverse=True)
     bits = len(alphabet).bit_length()
     dense = dense.astype(np.int64) + 1  # 0: no sign here
+    if int(owner[-1]).bit_length() + 3 * bits > 63:  # too many texts and signs for one key
+        return counted_by_pairs(owner + first, signs)
     keys = []
     for n in (1, 2, 3):
         last = min(len(dense) - n + 1, SLICE)
@@ -116,6 +118,29 @@ def counted(owner: np.ndarray, signs: np.ndarray, at: int) -> tuple[np.ndarray,
     return (runs >> 3 * bits) + first, code, counts
 
 
+def counted_by_pairs(owner: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`counted` of a slice, sorted by two keys: texts, and n-grams as they are packed in the end."""
+    points = signs.astype(np.int64)
+    owners, codes = [], []
+    for n in (1, 2, 3):
+        last = min(len(points) - n + 1, SLICE)
+        if last <= 0:
+            continue
+        code = np.zeros(last, np.int64)
+        for k in range(3):
+            code = code << WIDTH | (points[k : k + last] if k < n else 0)
+        whole = owner[:last] == owner[n - 1 : n - 1 + last]
+        if n == 1:
+            whole &= points[:last] != BLANK
+        owners.append(owner[:last][whole])
+        codes.append(code[whole])
+    owners, codes = np.concatenate(owners), np.concatenate(codes)
+    order = np.lexsort((codes, owners))
+    owners, codes = owners[order], codes[order]
+    begin = runs_begin(owners, codes)
+    return owners[begin], codes[begin], np.diff(np.append(begin, len(codes)))
+
+
 def learn(documents: DataFrame, lang: str = "lang", text: str = "text", size: int = SIZE) -> dict[str, list[int]]:
     """The profile of each language: its n-grams by falling count, equal counts by code."""
 
@@ -174,8 +199,13 @@ class Profiles:
             return [UNDETERMINED] * n, np.zeros(n)
         # By text, then falling count, then n-gram: the place of a run breaks ties.
         place = np.arange(len(code), dtype=np.int64)
-        key = (owner << 49) | ((1 << 24) - 1 - np.minimum(counts, (1 << 24) - 1) << 25) | place if len(code) < 1 << 25 else None
-        order = np.sort(key) & (1 << 25) - 1 if key is not None else np.lexsort((place, -counts, owner))
+        most = int(counts.max())
+        place_bits, count_bits = len(code).bit_length(), most.bit_length()
+        if n.bit_length() + count_bits + place_bits < 64:  # all three fit one key
+            key = (owner << count_bits | most - counts) << place_bits | place
+            order = np.sort(key) & (1 << place_bits) - 1
+        else:
+            order = np.lexsort((place, -counts, owner))
         owner, code = owner[order], code[order]
         begin = np.searchsorted(owner, np.arange(n))
         rank = np.arange(len(owner)) - begin[owner]

@@ -29,6 +29,8 @@ from clicktide.llm import common, tokens
 
 #: The table of first ranks per task is broadcast up to this size, else joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
+#: Bytes of stored ids that are cut into pieces at a time.
+CUT_BYTES = 2 << 20
 
 
 # --- The cutting-stock problem, on a histogram of bounded size -----------------------------------
@@ -260,6 +262,14 @@ def encode_ranked(documents: DataFrame, tokenizer: str, capacity: int, end_id: i
     )
 
 
+def held_ids(column: pa.Array, width: np.dtype) -> np.ndarray:
+    """The ids of all rows of a binary column one after the other, as 32-bit numbers."""
+    column = column.cast(pa.large_binary())
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    return data.view(width).astype("<u4")
+
+
 def pack(
     documents: DataFrame,
     tokenizer: str,
@@ -304,33 +314,41 @@ def pack(
     id_type = held.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: dict[int, dict[int, int]] = {}
+        part, base = None, {}
         for whole in batches:
-            for batch in common.text_blocks(whole, 5):
-                docs, rows = [], {k: [] for k in ("start", "length", "doc_tokens", "sequence_id", "offset", "ids")}
-                parts_of = batch.column(8).to_pylist()
-                columns = [batch.column(k).to_pylist() for k in range(1, 6)]
-                for k, (n, tail, tail_rank, chunk_rank, raw) in enumerate(zip(*columns, strict=True)):
-                    if parts_of[k] not in table:
-                        table = {parts_of[k]: dict(zip(batch.column(6)[k].as_py(), batch.column(7)[k].as_py(), strict=True))}
-                    base = table[parts_of[k]]
-                    pieces = [(base[0] + chunk_rank + c, 0, capacity) for c in range(n // capacity)]
+            for batch in common.text_blocks(whole, 5, CUT_BYTES):
+                docs, places = [], []
+                columns = [batch.column(k).to_pylist() for k in (1, 2, 3, 4, 8)]
+                for k, (n, tail, tail_rank, chunk_rank, own_part) in enumerate(zip(*columns, strict=True)):
+                    if own_part != part:
+                        part = own_part
+                        base = dict(zip(batch.column(6)[k].as_py(), batch.column(7)[k].as_py(), strict=True))
+                    first = base[0] + chunk_rank
+                    pieces = [(first + c, 0, capacity) for c in range(n // capacity)]
                     if tail:
                         pieces += layout.place(tail, base[tail] + tail_rank)
-                    ids = np.frombuffer(raw, width).astype("<u4").tobytes()
-                    start = 0
-                    for sequence, offset, length in pieces:
-                        docs.append(k)
-                        rows["start"].append(start)
-                        rows["length"].append(length)
-                        rows["doc_tokens"].append(n)
-                        rows["sequence_id"].append(sequence)
-                        rows["offset"].append(offset)
-                        rows["ids"].append(ids[4 * start : 4 * (start + length)])
-                        start += length
-                arrays = [batch.column(0).take(pa.array(docs, pa.int32()))]
-                arrays += [pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in rows.items()]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *rows])
+                    docs += [k] * len(pieces)
+                    places += pieces
+                owner, placed = np.array(docs, np.int32), np.array(places, np.int64).reshape(-1, 3)
+                # The pieces follow each other as the ids do: one array of ids, cut at the sums of the lengths.
+                bounds = np.concatenate([[0], np.cumsum(placed[:, 2])])
+                firsts = np.concatenate([[0], np.cumsum(np.array(columns[0], np.int64))])[:-1]
+                ids = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(owner),
+                    [None, pa.py_buffer(4 * bounds), pa.py_buffer(held_ids(batch.column(5), width))],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(owner)),
+                        pa.array(bounds[:-1] - firsts[owner]),
+                        pa.array(placed[:, 2]),
+                        batch.column(1).take(pa.array(owner)),
+                        pa.array(placed[:, 0]),
+                        pa.array(placed[:, 1]),
+                        ids.cast(pa.binary()),
+                    ],
+                    ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
+                )
 
     return found.mapInArrow(
         cut,

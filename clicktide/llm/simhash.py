@@ -63,7 +63,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def with_fingerprint(documents: DataFrame, shingle: int = 3, text: str = "text", into: str = "fp", keep: tuple[str, ...] | None = None) -> DataFrame:
     """The rows (columns `keep`, all by default) with the fingerprint as a long `into`."""
     kept = list(documents.columns if keep is None else keep)
-    chosen = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("__text"))
+    chosen = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias(common.fresh_name(documents, "text")))
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField(into, T.LongType())])
     place = len(kept)
 
@@ -163,8 +163,11 @@ def links(fingerprints: DataFrame, bits: int = 2) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in `edges` (a, b): the smallest node that it reaches.
 
-    Alternating large and small stars: each round writes the edges anew and ends when they are stars.
+    Alternating large and small stars: each round writes the edges anew, removes those of the round before and
+    ends when they are stars.
     """
+    spark = edges.sparkSession
+
     def stars(frame: DataFrame, both: bool) -> DataFrame:
         """Every neighbour (both: the larger ones; else the node and the smaller) to the smallest."""
         ways = frame.select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -185,10 +188,13 @@ def components(edges: DataFrame) -> DataFrame:
         row = frame.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).collect()[0]
         return row.n, row.h
 
-    current = common.store(edges.distinct())
+    held = common.shared_folder(spark)
+    current = common.store(edges.distinct(), held)
     before = mark(current)
     while before[0]:
-        current = common.store(stars(stars(current, True), False))
+        last, held = held, common.shared_folder(spark)
+        current = common.store(stars(stars(current, True), False), held)
+        common.remove(spark, last)
         after = mark(current)
         if after == before:
             break
@@ -220,7 +226,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, bits: int = 2, doc_i
 def keep_one(documents: DataFrame, shingle: int = 3, bits: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, in the columns it came with: the smallest doc_id, of repeated ids one row."""
     names = documents.columns
-    row, fp = "__row", "__fp"
+    row, fp = common.fresh_name(documents, "row"), common.fresh_name(documents, "fp")
     numbered = documents.withColumn(row, F.monotonically_increasing_id())
     held = common.store(with_fingerprint(numbered, shingle, text, fp))
     slim = held.select(F.col(row).alias("row"), F.col(doc_id).alias("doc_id"), F.col(fp).alias("fp"))

@@ -2,14 +2,17 @@
 
 Pre-tokens of the byte-level vocabulary never hold white space behind other characters, so a text may
 be cut before a blank or line feed that other than white space follows, and the pieces encoded alone.
-Arrow cuts and counts the pieces of a block; the tokenizer sees each distinct piece once and a
-bounded dictionary per Python worker remembers it. Ids are those of the tokenizer over the whole text.
+Arrow cuts and counts the pieces of a block; the tokenizer sees a distinct piece once while a dictionary
+remembers it. The dictionary has two generations of bounded bytes: what is met again moves to the younger one,
+and when that is full the older one goes. It is emptied when a task ends, as workers outlive tasks. Ids are
+those of the tokenizer over the whole text.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from sys import getsizeof
 from struct import pack
 
 import numpy as np
@@ -18,8 +21,10 @@ import pyarrow.compute as pc
 
 from clicktide.llm.common import text_blocks
 
-#: Pieces remembered by a Python worker; at the bound the dictionary starts anew.
-REMEMBERED = 700_000
+#: Bytes of remembered pieces in a task, both generations, and what a dictionary spends on a piece beside it.
+REMEMBERED_BYTES, SLOT = 48 << 20, 100
+#: Bytes of text that are encoded at a time.
+ENCODED_BYTES = 4 << 20
 #: Longer pieces are encoded each time instead of remembered.
 LONGEST_REMEMBERED = 40
 
@@ -48,7 +53,19 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         self.alphabet = {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
-        self.known: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with an empty dictionary."""
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0  # bytes of the younger generation
+
+    def _remember(self, piece: str, ids: bytes) -> None:
+        self.held += getsizeof(piece) + getsizeof(ids) + SLOT
+        if 2 * self.held > REMEMBERED_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
+        self.young[piece] = ids
 
     def _encode(self, piece: str) -> bytes:
         if (piece[1:] if piece[0] == " " else piece).isalpha():  # one pre-token: the merges alone
@@ -60,8 +77,12 @@ class Encoder:
 
     def piece(self, piece: str) -> bytes:
         """Ids of a piece that may be encoded alone."""
-        found = self.known.get(piece)
+        found = self.young.get(piece)
+        if found is not None:
+            return found
+        found = self.old.get(piece)
         if found is not None:
+            self._remember(piece, found)
             return found
         if not piece:
             return b""
@@ -72,9 +93,7 @@ class Encoder:
             return self.piece("\n") + self.piece(piece[1:])
         found = self._encode(piece)
         if len(piece) <= LONGEST_REMEMBERED:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[piece] = found
+            self._remember(piece, found)
         return found
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -88,9 +107,8 @@ class Encoder:
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
         first = first - offsets[0]
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        known = self.known
         keys = [p if p[:1] == "\n" else " " + p for p in distinct]
-        parts = [known[k] if k in known else self.piece(k) for k in keys]
+        parts = [self.young.get(k) or self.piece(k) for k in keys]
         # The first piece of a text has no blank before it.
         parts += [self.piece(distinct[k]) for k in index[first].tolist()]
         index[first] = len(distinct) + np.arange(len(first), dtype=np.int32)
@@ -123,6 +141,9 @@ def encoder(path: str) -> Encoder:
 def encoded(batches: Iterator[pa.RecordBatch], path: str, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Blocks of rows with their ids and the ids per row; `column` is the text's position."""
     own = encoder(path)
-    for batch in batches:
-        for block in text_blocks(batch, column):
-            yield block, *own.texts(block.column(column))
+    try:
+        for batch in batches:
+            for block in text_blocks(batch, column, ENCODED_BYTES):
+                yield block, *own.texts(block.column(column))
+    finally:
+        own.forget()

@@ -242,5 +242,5 @@ def test_pipeline_stages(spark, sf_dir, documents):
 
 def test_every_operator_is_registered():
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert quality_rules.RULES and packing.BROADCAST_BYTES

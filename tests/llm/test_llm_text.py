@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -245,6 +246,66 @@ def test_spelled_addresses_are_proposed_wherever_they_match(spark):
     assert found == {0: [("email", 0, 19)], 1: [("email", 3, 22)], 2: [("email", 0, 23)], 3: [("email", 0, 25)], 4: []}
 
 
+def planted(documents, seed=4):
+    """Given documents with spans that the base patterns miss, and decoys; also the spans wanted by document."""
+    rnd = random.Random(seed)
+
+    def digits(n):
+        return "".join(str(rnd.randrange(10)) for _ in range(n))
+
+    def card():
+        first = digits(15)
+        total = sum(d if k % 2 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(map(int, first)))
+        whole = first + str(-total % 10)
+        return rnd.choice([".", "/", "  "]).join(whole[k : k + 4] for k in (0, 4, 8, 12))
+
+    name = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(3, 9)))
+    wanted = {
+        "email": lambda: rnd.choice([f"{name()} at {name()} dot com", f"{name()} (at) {name()}.example.org", f"{name()}[at]{name()}[dot]net"]),
+        "phone": lambda: rnd.choice([f"1 ({digits(3)}) 555-{digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}"]),
+        "card": card,
+    }
+    decoys = [
+        lambda: f"order {digits(12)}", lambda: f"token = \"{digits(9)}af{digits(8)}\"", lambda: f"x{digits(11)}y",
+        lambda: f"{digits(3)}.{digits(3)}", lambda: "we met at noon. They left", lambda: f"isbn {digits(13)}",
+    ]
+    out, spans = [], {}
+    for doc_id, text in documents:
+        spans[doc_id] = set()
+        text = text or ""
+        if rnd.random() < 0.3:
+            kind = rnd.choice(sorted(wanted))
+            found = wanted[kind]()
+            spans[doc_id].add((kind, len(text) + 6, len(text) + 6 + len(found)))
+            text += f" says {found} then"
+        if rnd.random() < 0.1:  # plain ones to learn from; the given table has a dozen
+            text += f" by {name()}@{name()}.com so"
+        if rnd.random() < 0.3:
+            text += f" and {rnd.choice(decoys)()} end"
+        out.append((doc_id, text))
+    return out, spans
+
+
+def test_added_spans_on_a_planted_table(spark):
+    """Precision and recall of what the trees add to the base spans (README)."""
+    given = queries.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").collect()
+    rows, wanted = planted([tuple(r) for r in given])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    right = added = 0
+    by_kind = {}
+    for r in pii.find(docs).collect():
+        base = {(s.kind, s.start, s.end) for s in r.base}
+        more = {(s.kind, s.start, s.end) for s in r.spans} - base
+        hit = {(k, a, b) for k, a, b in more if any(k == w[0] and a < w[2] and w[1] < b for w in wanted[r.doc_id])}
+        added, right = added + len(more), right + len(hit)
+        for w in wanted[r.doc_id]:
+            caught, all_of = by_kind.get(w[0], (0, 0))
+            by_kind[w[0]] = caught + any(k == w[0] and a < w[2] and w[1] < b for k, a, b in hit), all_of + 1
+    print("added", added, "right", right, by_kind)
+    assert right / added > 0.95
+    assert all(caught / n > 0.8 for caught, n in by_kind.values()) and set(by_kind) == {"email", "phone", "card"}
+
+
 def test_frequent_proposals_are_always_learned_from(spark):
     size = len(pii.FEATURES)
     phone, proposed = pii.KINDS.index("phone"), "array<struct<features:array<int>,same:boolean>>"
@@ -263,6 +324,10 @@ def test_redaction(spark, edge_documents, no_documents):
         [(1, "é mail x.y@z.org, +1 (974) 555-3436 and 1.2.3.4!", "s"), (2, None, None), (3, "clean", "s")],
         "doc_id long, text string, spans string",
     )
+    clashing = docs.select("doc_id", "text", F.lit("a").alias("__pii"), F.lit("b").alias("__all"))
+    kept = {r.doc_id: (r["__pii"], r["__all"], r.text) for r in pii.redact(clashing).collect()}
+    assert kept[3] == ("a", "b", "clean") and kept[1][:2] == ("a", "b")
+    assert {r["__pii"] for r in pii.find(clashing).collect()} == {"a"}
     got = {r.doc_id: r.text for r in pii.redact(docs).collect()}
     assert got == {1: "é mail [EMAIL], [PHONE] and [IP]!", 2: None, 3: "clean"}
     same = pii.redact(edge_documents)
@@ -297,3 +362,58 @@ def test_examples_read_back(spark):
         assert (d.n_turns, d.turns_sha256, d.loss_chars, d.loss_sha256) == (len(turns), sha(said), len(trained), sha(trained))
         assert d.formatted_chars == sum(len(r.formatted) for r in got if r.conv_id == conv)
     assert chat.digest(chat.prefix_targets(frame.limit(0))).count() == 0
+
+
+# --- Decontamination at depth ---------------------------------------------------------------------
+
+
+def test_repetitive_texts_take_constant_work_a_word():
+    """200,000 equal words in an item and in a text: seconds, not hours; and short items inside."""
+    many = [b"a"] * 200_000
+    started = time.monotonic()
+    own = decontaminate.Automaton([("x", many), ("y", [b"a"] * 3), ("z", [b"a", b"b"])], 10)
+    spans, found = [], set()
+    own.scan(np.zeros(200_000, np.int64), 5, spans, found)
+    assert spans == [(5, 200_005)] and {own.items[k] for k in found} == {"x", "y"}
+    assert time.monotonic() - started < 30
+
+
+@pytest.mark.parametrize("block_words, hashes", [(10**6, 4 << 20), (12, 4 << 20), (12, 10)])
+def test_repetitive_texts_match_brute_force(spark, monkeypatch, block_words, hashes):
+    """Two words only, items shorter than a window, one table of hashes and many."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
+    monkeypatch.setattr(decontaminate, "TABLE_HASHES", hashes)
+    rnd = random.Random(9)
+    say = lambda n: " ".join(rnd.choice("aab") for _ in range(n))
+    items = [(i, say(rnd.choice([0, 1, 2, 3, 4, 6, 9, 14]))) for i in range(12)] + [(50, "a " * 30), (51, None)]
+    texts = [say(rnd.randint(0, 25)) for _ in range(50)] + ["a " * 200, "b", "", None, "c c c", "a " * 200]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.find(docs, bench, window=5).collect()
+    assert len(rows) == len(texts)
+    for row in decontaminate.digest(decontaminate.find(docs, bench, window=5)).collect():
+        assert tuple(row)[1:] == brute_hits(texts[row.doc_id], items, 5), texts[row.doc_id]
+    for row in rows:
+        spans = [(s.start, s.end) for s in row.found.spans]
+        assert spans == decontaminate.merged(spans)
+
+
+def test_blocks_store_hits_not_texts(spark, monkeypatch, sf_dir, tmp_path):
+    """Ten blocks or more over the given documents: the result of one block, and little beside the hits stored."""
+    documents, bench = queries.table(spark, sf_dir, "documents"), queries.table(spark, sf_dir, "benchmark")
+    one = {r.doc_id: tuple(r) for r in decontaminate.digest(decontaminate.find(documents, bench)).collect()}
+    stored = []
+    store = decontaminate.store
+    monkeypatch.setattr(decontaminate, "store", lambda frame: stored.append(store(frame)) or stored[-1])
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 120)
+    made = []
+    write = decontaminate.write_blocks
+    monkeypatch.setattr(decontaminate, "write_blocks", lambda *a: made.append(write(*a)) or made[-1])
+    many = {r.doc_id: tuple(r) for r in decontaminate.digest(decontaminate.find(documents, bench)).collect()}
+    assert many == one and len(made[0]) >= 10
+    assert len(stored) == 1 and "text" not in stored[0].columns
+    assert stored[0].count() <= sum(r[-1] for r in one.values())
+    for broadcast in (1 << 20, -1):
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", broadcast)
+        clean = decontaminate.clean(documents, bench).select("doc_id", "text")
+        assert clean.count() >= len(one) - sum(r[-1] for r in one.values())
