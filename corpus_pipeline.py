@@ -57,8 +57,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is written to the shared folder and read by the next stage."""
-    docs = common.table(spark, sf_dir, "documents")
+    """All stages over `documents`; each result is written to the shared folder and read by the next stage.
+
+    A stage's table is removed when its successor is written, so the folder holds one copy of the corpus beside
+    the tables of the last stage.
+    """
+    docs, held = common.table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = common.store(stage(spark, docs, sf_dir))
+        last, held = held, common.shared_folder(spark)
+        docs = common.store(stage(spark, docs, sf_dir), held)
+        if last:
+            common.remove(spark, last)
     return STAGES[-1][1](spark, docs, sf_dir)
