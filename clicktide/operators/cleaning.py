@@ -14,8 +14,6 @@ branch (`without_defects`): payloads are then judged once, and the exchange is r
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +25,7 @@ from clicktide.functions.payload import (
     payload_hash,
     with_facts,
 )
+from clicktide.functions.timing import place
 from clicktide.operators.purchases import purchase_events
 from clicktide.operators.shaping import canonical_identity, ensure_columns, with_event_ts
 from clicktide.settings import PURCHASE_EVENT, RAW_EVENT_COLUMNS
@@ -39,25 +38,10 @@ REASONS = (INVALID, COLLISION, REPLAY)
 
 # Micros that stand for an unknown time; known ones are smaller for 30,000 years.
 _LAST = 10**18
-_WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 _WORK = ("_tx", "_key", "_invalid", "_collided", "_kept", "_place")
 DAY_SCOPE = ("partition_date",)
 
 
-def place(micros: Column, tie: Column, tie_type: str) -> Column:
-    """Time, then tie-break, as one value to compare.
-
-    With a whole number as tie-break both fit one decimal, which a hash aggregate can keep in place; a
-    struct would make Spark sort the rows first.
-    """
-    at = F.coalesce(micros, F.lit(_LAST))
-    if tie_type not in _WHOLE_NUMBERS:
-        return F.struct(at.alias("at"), tie.alias("tie"))
-    width = F.lit(Decimal(1 << 64)).cast("decimal(20,0)")
-    shifted = tie.cast("decimal(20,0)") + F.lit(Decimal(1 << 63)).cast("decimal(20,0)")
-    return (at.cast("decimal(19,0)") * width + shifted).cast("decimal(38,0)")
-
-
 def _shaped(events: DataFrame) -> DataFrame:
     return with_event_ts(canonical_identity(ensure_columns(events, RAW_EVENT_COLUMNS)))
 
@@ -75,7 +59,8 @@ def _scoped(rows: DataFrame, scope: tuple[str, ...]) -> DataFrame:
 
 def _judged(shaped: DataFrame, scope: tuple[str, ...], tie_break: str) -> DataFrame:
     """Purchases with `quarantine_reason` and work columns; each scan parses a payload once."""
-    at = place(F.unix_micros("ts"), F.col(tie_break), dict(shaped.dtypes)[tie_break])
+    time = F.coalesce(F.unix_micros("ts"), F.lit(_LAST))
+    at = place(time, F.col(tie_break), dict(shaped.dtypes)[tie_break])
     rows = _scoped(purchase_events(shaped), scope).withColumn("_place", at)
 
     def judged(payload: Column) -> dict[str, Column]:

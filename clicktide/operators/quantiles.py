@@ -1,13 +1,13 @@
 """Exact quantiles and histograms without gathering all values in one task.
 
-The built-in exact `percentile` holds every distinct value in a single buffer. Here values are
-counted per distinct microsecond first, then per coarse bin; a cumulative sum over the bins finds
-the few that hold a wanted rank, and only their values are ordered.
+The built-in exact `percentile` holds every distinct value in a single buffer. Here a first pass counts
+coarse bins; running sums over spans of bins, then within the few spans that matter, find the bins that
+hold a wanted rank. A second pass orders only the values of those bins. The input is computed twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Width of a coarse bin in microseconds, about 17 s: a year has under 2 million bins, and one bin
@@ -24,66 +24,54 @@ def exact_quantiles(
 
     Null values are left out. An empty input gives null values.
     """
-    values = (
-        df.select(F.col(micros).cast("long").alias("v"))
-        .where(F.col("v").isNotNull())
-        .groupBy("v")
+    values = df.select(F.col(micros).cast("long").alias("v")).where(F.col("v").isNotNull())
+    binned = values.withColumn("bin", F.shiftright("v", BIN_BITS))
+    # A row per span with its bins in order, at most 4096 of them.
+    spans = (
+        binned.groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bin", F.shiftright("v", BIN_BITS))
+        .groupBy(F.shiftright("bin", SPAN_BITS).alias("span"))
+        .agg(F.sum("n").alias("span_n"), F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"))
     )
-    # Running sums in two levels: over the few spans of SPAN_BITS bins, then within each span.
-    counted = (
-        values.groupBy("bin")
-        .agg(F.sum("n").alias("bin_n"))
-        .withColumn("span", F.shiftright("bin", SPAN_BITS))
-    )
-    spans = counted.groupBy("span").agg(F.sum("bin_n").alias("span_n"))
-    earlier = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("span").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    spans = spans.select(
-        "span",
-        F.coalesce(F.sum("span_n").over(earlier), F.lit(0)).alias("before"),
-        F.sum("span_n").over(everything).alias("total"),
-    )
-    in_span = Window.partitionBy("span").orderBy("bin")
-    running = in_span.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = counted.join(spans, "span").withColumn(
-        "bin_end", F.sum("bin_n").over(running) + F.col("before")
-    )
-    # The two ranks (from 0) around each wanted position.
+    in_order = Window.orderBy("span")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # The two ranks (from 0) around each wanted position, and the bin that holds each.
     position = F.col("probability") * (F.col("total") - 1)
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
     ranks = (
-        bins.withColumn("probability", F.explode(wanted))
+        spans.withColumns(
+            {
+                "before": F.coalesce(F.sum("span_n").over(earlier), F.lit(0)),
+                "total": F.sum("span_n").over(everything),
+            }
+        )
+        .withColumn("probability", F.explode(wanted))
         .withColumn(
             "rank",
             F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))),
         )
         .where(
-            (F.col("rank") < F.col("bin_end"))
-            & (F.col("rank") >= F.col("bin_end") - F.col("bin_n"))
+            (F.col("rank") >= F.col("before"))
+            & (F.col("rank") < F.col("before") + F.col("span_n"))
         )
-        .withColumn("weight", F.lit(1.0) - F.abs(position - F.col("rank")))
+        .withColumn("found", _bin_of(F.col("bins"), F.col("rank") - F.col("before")))
         .select(
-            "bin",
+            F.col("found.bin").alias("bin"),
             "probability",
-            "weight",
-            (F.col("rank") - (F.col("bin_end") - F.col("bin_n"))).alias("rank_in_bin"),
+            "rank",
+            (F.lit(1.0) - F.abs(position - F.col("rank"))).alias("weight"),
+            (F.col("rank") - F.col("before") - F.col("found.start")).alias("rank_in_bin"),
         )
     )
-    # Bins without a wanted rank drop out before any value is ordered; `ranks` has at most two
-    # rows per probability.
-    targets = ranks.groupBy("bin").agg(
-        F.collect_list(F.struct("probability", "weight", "rank_in_bin")).alias("targets")
-    )
-    in_bin = Window.partitionBy("bin").orderBy("v")
-    upto = in_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # At most two rows per probability; values of other bins drop out before anything is ordered.
+    of_rank = ["probability", "rank"]
+    upto = Window.partitionBy(*of_rank).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        values.join(F.broadcast(targets), "bin")
+        binned.join(F.broadcast(ranks), "bin")
+        .groupBy(*of_rank, "weight", "rank_in_bin", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("end", F.sum("n").over(upto))
-        .select("v", "n", "end", F.inline("targets"))
         .where(
             (F.col("rank_in_bin") < F.col("end"))
             & (F.col("rank_in_bin") >= F.col("end") - F.col("n"))
@@ -93,6 +81,23 @@ def exact_quantiles(
     )
 
 
+def _bin_of(bins: Column, rank: Column) -> Column:
+    """(bin, start): the bin that holds a rank within its span, and the rows of the span before it."""
+    zero, nothing = F.lit(0).cast("long"), F.lit(None).cast("long")
+    empty = F.struct(zero.alias("upto"), nothing.alias("bin"), nothing.alias("start"))
+
+    def step(held: Column, own: Column) -> Column:
+        upto = held["upto"] + own["n"]
+        here = held["bin"].isNull() & (rank < upto)
+        return F.struct(
+            upto.alias("upto"),
+            F.when(here, own["bin"]).otherwise(held["bin"]).alias("bin"),
+            F.when(here, held["upto"]).otherwise(held["start"]).alias("start"),
+        )
+
+    return F.aggregate(bins, empty, step)
+
+
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins are listed too.
 
