@@ -192,3 +192,118 @@ def test_cleaning_a_day_again_replaces_both_sides(spark, make_events, tmp_path):
     # The same run once more changes nothing.
     made = jobs.cleaning_job(mended, out, replace="days")
     assert made["cleaned"].count() == 4 and made["quarantined"].count() == 1
+
+
+# --- reading files split over tasks -------------------------------------------------
+
+
+def random_files(raw, rng, files=6, rows=60):
+    """Files of two headers with line breaks, quotes and commas inside quoted fields, some with CRLF."""
+    letters = ["a", "é", '"', "\n", ",", " ", "x", "\r\n", "😀", "\n\n"]
+    want = {}
+    for k in range(files):
+        name = f"events_202502{k + 1:02d}.csv"
+        header = ["client_id", "page_url", "event_name"] if k % 2 else ["event_name", "clientId", "user_agent"]
+        lines = [["".join(rng.choice(letters) for _ in range(rng.randrange(1, 12))) + "z" for _ in header] for _ in range(rows)]
+        with open(raw / name, "w", newline="", encoding="utf-8") as f:
+            writer = csv.writer(f, lineterminator="\r\n" if k % 3 == 2 else "\n")
+            writer.writerow(header)
+            writer.writerows(lines)
+            if k == 1:
+                f.write("\n\nlast,line,without feed")
+                lines = [*lines, ["last", "line", "without feed"]]
+        want[name] = [dict(zip(header, line)) for line in lines]
+    return want
+
+
+def found_rows(events):
+    names = ["client_id", "clientId", "page_url", "event_name", "user_agent"]
+    out = {}
+    for r in sorted(events.collect(), key=lambda r: r.event_id):
+        out.setdefault(r.source_file, []).append({c: r[c] for c in names if c in r.source_columns})
+    return out
+
+
+@pytest.mark.parametrize("split", ["37b", "200b", "1m"])
+def test_quoted_line_breaks_at_the_borders_of_splits(spark, tmp_path, split):
+    """Every record comes out whole, in order, and with the same id for any size of splits."""
+    import random
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    want = random_files(raw, random.Random(4))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        events = event_files.read_event_folder(spark, str(raw))
+        rows = events.collect()
+        assert found_rows(events) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    ids = {(r.source_file, r.event_name, r.event_id) for r in rows}
+    again = event_files.read_event_folder(spark, str(raw)).collect()
+    assert {(r.source_file, r.event_name, r.event_id) for r in again} == ids and len(ids) == len(rows)
+    offsets = sorted(r.event_id & (1 << event_files.OFFSET_BITS) - 1 for r in rows if r.source_file == "events_20250201.csv")
+    data = (raw / "events_20250201.csv").read_bytes()
+    assert all(data[o - 1 : o] == b"\n" for o in offsets)
+
+
+def test_a_field_longer_than_many_splits(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    long = "line\n" * 400 + 'and "more"'
+    write_csv(raw, "events_20250201.csv", ["client_id", "event_data"], [["a", "x"], ["b", long], ["c", "y\nz"]])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        events = event_files.read_event_folder(spark, str(raw))
+        got = {r.client_id: r.event_data for r in events.collect()}
+        assert got == {"a": "x", "b": long, "c": "y\nz"}
+        # Other splits than those that were counted are an error, not wrong rows.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "77b")
+        with pytest.raises(Exception, match="split sizes have changed"):
+            events.groupBy("client_id").count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_thousand_small_files(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for k in range(1000):
+        header = ["client_id", "event_name"] if k % 2 else ["event_name", "clientId"]
+        write_csv(raw, f"events_{20000101 + k}.csv", header, [["u", "v"]])
+    paths = event_files.list_files(spark, str(raw))
+    headers = event_files.file_headers(spark, paths)
+    assert len(headers) == 1000 and set(headers.values()) == {("client_id", "event_name"), ("event_name", "clientId")}
+    events = event_files.read_event_folder(spark, str(raw))
+    assert events.count() == 1000
+    some = event_files.read_event_folder(spark, str(raw), since="20000103", until="20000105")
+    assert sorted(r.partition_date for r in some.collect()) == ["20000103", "20000104", "20000105"]
+
+
+def test_odd_headers(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "events_20250101.csv").write_bytes(b'\xef\xbb\xbf\n"a\nb",,x,X,"q""q"\n1,2,3,4,5\n\n6,7\n')
+    (raw / "events_20250102.csv").write_bytes(b"")
+    (raw / "events 20250103.csv").write_bytes(b"only,header")
+    names = event_files.file_headers(spark, event_files.list_files(spark, str(raw)))
+    # A file of no bytes is not listed.
+    assert sorted(names.values()) == [("a\nb", "_c1", "x2", "X3", 'q"q'), ("only", "header")]
+    rows = event_files.read_event_folder(spark, str(raw)).orderBy("event_id").collect()
+    assert [(r["a\nb"], r["_c1"], r.x2, r.X3, r['q"q']) for r in rows] == [("1", "2", "3", "4", "5"), ("6", "7", None, None, None)]
+    assert {r.partition_date for r in event_files.partition_headers(spark, str(raw)).collect()} == {"20250101", "20250103"}
+
+
+def test_lines_as_records(spark, tmp_path):
+    """Without `multi_line` a stray quote ends with its line."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "events_20250101.csv").write_text('client_id,page_url\na,5" screen\nb,c\n')
+    got = {r.client_id: r.page_url for r in event_files.read_event_folder(spark, str(raw), multi_line=False).collect()}
+    assert got == {"a": '5" screen', "b": "c"}
