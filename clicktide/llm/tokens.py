@@ -11,9 +11,9 @@ those of the tokenizer over the whole text.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from sys import getsizeof
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +22,9 @@ import pyarrow.compute as pc
 from clicktide.llm.common import text_blocks
 
 #: Bytes of remembered pieces in a task, both generations, and what a dictionary spends on a piece beside it.
-REMEMBERED_BYTES, SLOT = 48 << 20, 100
+REMEMBERED_BYTES, SLOT = 96 << 20, 100
 #: Bytes of text that are encoded at a time.
-ENCODED_BYTES = 4 << 20
+ENCODED_BYTES = 6 << 20
 #: Longer pieces are encoded each time instead of remembered.
 LONGEST_REMEMBERED = 40
 
@@ -53,6 +53,7 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         self.alphabet = {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
+        self.blank = chr(self.alphabet[32])
         self.forget()
 
     def forget(self) -> None:
@@ -67,13 +68,17 @@ class Encoder:
             self.old, self.young, self.held = self.young, {}, 0
         self.young[piece] = ids
 
-    def _encode(self, piece: str) -> bytes:
-        if (piece[1:] if piece[0] == " " else piece).isalpha():  # one pre-token: the merges alone
-            mapped = piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = [t.id for t in self.model.tokenize(mapped)]
+    def _merged(self, piece: str) -> bytes:
+        """Ids of a piece that is one pre-token: the merges alone."""
+        if piece.isascii():  # letters stand for themselves
+            mapped = piece.replace(" ", self.blank)
         else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return pack(f"<{len(ids)}{self.code}", *ids)
+            mapped = piece.encode().decode("latin-1").translate(self.alphabet)
+        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _encode(self, piece: str) -> bytes:
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return array(self.code, ids).tobytes()
 
     def piece(self, piece: str) -> bytes:
         """Ids of a piece that may be encoded alone."""
@@ -86,12 +91,15 @@ class Encoder:
             return found
         if not piece:
             return b""
-        marked = WORD_AND_MARKS.fullmatch(piece)
-        if marked and marked[1].lstrip(" ").isalpha():
-            return self.piece(marked[1]) + self.piece(marked[2])
-        if piece[0] == "\n" and piece[1:].isalpha():
-            return self.piece("\n") + self.piece(piece[1:])
-        found = self._encode(piece)
+        if (piece[1:] if piece[0] == " " else piece).isalpha():
+            found = self._merged(piece)
+        else:
+            marked = WORD_AND_MARKS.fullmatch(piece)
+            if marked and marked[1].lstrip(" ").isalpha():
+                return self.piece(marked[1]) + self.piece(marked[2])
+            if piece[0] == "\n" and piece[1:].isalpha():
+                return self.piece("\n") + self.piece(piece[1:])
+            found = self._encode(piece)
         if len(piece) <= LONGEST_REMEMBERED:
             self._remember(piece, found)
         return found
