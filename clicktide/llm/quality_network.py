@@ -38,8 +38,9 @@ SIZE = 1 << BITS
 POOLED = 3 * DIMS
 #: Labelled rows that a network is fitted on at most.
 ROWS = 20_000
-#: Words whose vectors are held at a time, words whose place is remembered, characters cut into words at a time.
-STEP, REMEMBERED, STRETCH = 1 << 13, 200_000, 1 << 20
+#: Words whose vectors are held at a time (a sum of so many contexts of 2 * REACH signs fits 16 bits), words whose
+#: place is remembered, characters cut into words at a time.
+STEP, REMEMBERED, STRETCH = 1 << 12, 200_000, 1 << 20
 WORD = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 
 
@@ -92,11 +93,11 @@ def add_contexts(texts: list[np.ndarray], sums: np.ndarray, counts: np.ndarray)
         for k in range(1, REACH + 1):
             context += near[REACH - k : REACH - k + high - low]
             context += near[REACH + k : REACH + k + high - low]
-        own = flat[low:high]
+        own = flat[low:high].astype(np.uint16)  # numbers this short are sorted by radix
         order = np.argsort(own, kind="stable")
         ordered = own[order]
         firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        sums[ordered[firsts]] += np.add.reduceat(context[order], firsts, axis=0, dtype=np.int64)
+        sums[ordered[firsts]] += np.add.reduceat(context[order], firsts, axis=0, dtype=np.int16)
         counts += np.bincount(own, minlength=SIZE + 1)
 
 
