@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clicktide.functions.scoring import ratio
 from clicktide.functions.timing import MICROS_PER_MINUTE, day_text
 from clicktide.operators.attribution import MODELS
-from clicktide.operators.quantiles import exact_quantiles, histogram
+from clicktide.operators.quantiles import histogram, quantile_row
 
 # Order in which the models contribute channels to the sensitivity table.
 MODEL_PRIORITY = ("last_non_direct", "first_click", "last_click")
@@ -207,11 +207,8 @@ def minutes_to_purchase(purchases: DataFrame, sessions: DataFrame | None = None)
 
 def time_to_purchase(timed: DataFrame) -> DataFrame:
     """One row: exact median and 90th percentile of the minutes to purchase."""
-    q = exact_quantiles(timed, "micros_to_purchase", (0.5, 0.9), MICROS_PER_MINUTE)
-    return q.agg(
-        F.max(F.when(F.col("probability") == 0.5, F.col("value"))).alias("median_minutes"),
-        F.max(F.when(F.col("probability") == 0.9, F.col("value"))).alias("p90_minutes"),
-    )
+    wanted = {"median_minutes": 0.5, "p90_minutes": 0.9}
+    return quantile_row(timed, "micros_to_purchase", wanted, MICROS_PER_MINUTE)
 
 
 def time_to_purchase_histogram(timed: DataFrame, bins: int = 20) -> DataFrame:

@@ -1,8 +1,9 @@
 """Exact quantiles and histograms without gathering all values in one task.
 
-The built-in exact `percentile` holds every distinct value in a single buffer. Here a first pass counts
-coarse bins; running sums over spans of bins, then within the few spans that matter, find the bins that
-hold a wanted rank. A second pass orders only the values of those bins. The input is computed twice.
+The built-in exact `percentile` holds every distinct value in a single buffer. Here the input is counted
+once by value. From those counts a first pass sums up coarse bins; running sums over spans of bins, then
+within the few spans that matter, find the bins that hold a wanted rank. A second pass over the same counts,
+whose exchange Spark reuses, orders only the values of those bins.
 """
 
 from __future__ import annotations
@@ -22,14 +23,37 @@ def exact_quantiles(
 ) -> DataFrame:
     """(probability, value) with linear interpolation, `micros` divided by `unit_micros`.
 
-    Null values are left out. An empty input gives null values.
+    Null values are left out. An empty input has no rows.
     """
-    values = df.select(F.col(micros).cast("long").alias("v")).where(F.col("v").isNotNull())
-    binned = values.withColumn("bin", F.shiftright("v", BIN_BITS))
+    parts = _weighted(df, micros, probabilities)
+    return parts.groupBy("probability").agg((F.sum("part") / F.lit(float(unit_micros))).alias("value"))
+
+
+def quantile_row(df: DataFrame, micros: str, named: dict[str, float], unit_micros: float) -> DataFrame:
+    """One row with a column per named probability; nulls where there is no value."""
+    parts = _weighted(df, micros, tuple(named.values()))
+    return parts.agg(
+        *[
+            (F.sum(F.when(F.col("probability") == p, F.col("part"))) / F.lit(float(unit_micros))).alias(name)
+            for name, p in named.items()
+        ]
+    )
+
+
+def _weighted(df: DataFrame, micros: str, probabilities: tuple[float, ...]) -> DataFrame:
+    """(probability, part): the one or two values around each wanted position times their weights."""
+    # Both passes start here and filter alike, so that the second one finds the exchange of the first.
+    counted = (
+        df.select(F.col(micros).cast("long").alias("v"))
+        .groupBy("v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("bin", F.shiftright("v", BIN_BITS))
+        .where(F.col("v").isNotNull() & F.col("bin").isNotNull())
+    )
     # A row per span with its bins in order, at most 4096 of them.
     spans = (
-        binned.groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        counted.groupBy("bin")
+        .agg(F.sum("n").alias("n"))
         .groupBy(F.shiftright("bin", SPAN_BITS).alias("span"))
         .agg(F.sum("n").alias("span_n"), F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"))
     )
@@ -38,7 +62,7 @@ def exact_quantiles(
     everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # The two ranks (from 0) around each wanted position, and the bin that holds each.
     position = F.col("probability") * (F.col("total") - 1)
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+    wanted = F.array(*[F.lit(float(p)) for p in dict.fromkeys(probabilities)])
     ranks = (
         spans.withColumns(
             {
@@ -65,19 +89,15 @@ def exact_quantiles(
         )
     )
     # At most two rows per probability; values of other bins drop out before anything is ordered.
-    of_rank = ["probability", "rank"]
-    upto = Window.partitionBy(*of_rank).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("probability", "rank").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        binned.join(F.broadcast(ranks), "bin")
-        .groupBy(*of_rank, "weight", "rank_in_bin", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
+        counted.join(F.broadcast(ranks), "bin")
         .withColumn("end", F.sum("n").over(upto))
         .where(
             (F.col("rank_in_bin") < F.col("end"))
             & (F.col("rank_in_bin") >= F.col("end") - F.col("n"))
         )
-        .groupBy("probability")
-        .agg((F.sum(F.col("v") * F.col("weight")) / F.lit(float(unit_micros))).alias("value"))
+        .select("probability", (F.col("v") * F.col("weight")).alias("part"))
     )
 
 

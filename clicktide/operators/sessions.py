@@ -216,13 +216,18 @@ def build_touchpoints(
 
 
 def narrow_slots(events: DataFrame, gap_minutes: float = GAP_MINUTES) -> DataFrame:
-    """Numbered (key, slot) rows with times only, enough to label events."""
+    """Numbered (key, slot) rows with times only, enough to label events and to count sessions.
+
+    Numbers alone are aggregated by hash, without a sort. As with `segment_slots`, the branches of a
+    query share the exchange of the events.
+    """
     slots = (
         with_slots(events, gap_minutes)
         .groupBy(*SLOT_KEYS)
         .agg(F.min("ts_us").alias("first_us"), F.max("ts_us").alias("last_us"))
     )
-    return _numbered(slots, gap_minutes)
+    needed = [F.col(c).isNotNull() for c in ("slot_us", "first_us", "last_us")]
+    return _numbered(slots.where(reduce(and_, needed)), gap_minutes)
 
 
 def segment_slots(
@@ -264,24 +269,27 @@ def segment_sessions(slots: DataFrame) -> DataFrame:
     """Sessions of `segment_slots`: keys, times, client, landing channel and device.
 
     All rows of a key share its client (or have none), so the landing's client is the session's.
+    Those of `narrow_slots` have keys and times.
     """
     start = F.timestamp_micros("start_us")
+    firsts, landing = [], []
+    if "landing" in slots.columns:
+        firsts = [F.min("landing").alias("landing")]
+        landing = [
+            F.col("landing.client").alias("client_id_canonical"),
+            F.col("landing.channel").alias("landing_channel"),
+            F.col("landing.device_type").alias("device_type"),
+        ]
     return (
         slots.groupBy("session_key", "session_num")
-        .agg(
-            F.min("first_us").alias("start_us"),
-            F.max("last_us").alias("end_us"),
-            F.min("landing").alias("landing"),
-        )
+        .agg(F.min("first_us").alias("start_us"), F.max("last_us").alias("end_us"), *firsts)
         .select(
             "session_key",
             "session_num",
             to_second(start).alias("session_start_ts"),
             session_id(F.col("session_key"), F.col("session_num"), start).alias("session_id"),
             to_second(F.timestamp_micros("end_us")).alias("session_end_ts"),
-            F.col("landing.client").alias("client_id_canonical"),
-            F.col("landing.channel").alias("landing_channel"),
-            F.col("landing.device_type").alias("device_type"),
+            *landing,
         )
     )
 

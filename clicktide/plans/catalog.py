@@ -38,6 +38,7 @@ from clicktide.operators.sessions import (
     assign_sessions,
     build_sessions,
     build_touchpoints,
+    narrow_slots,
     segment_sessions,
     segment_slots,
     sessionize,
@@ -98,6 +99,20 @@ def _sessions_and_purchases(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
     return segment_sessions(slots), _purchases(prepared, slots)
 
 
+def _counted_sessions_and_purchases(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same with times only, for metrics that ask neither for client, channel nor device."""
+    slots = narrow_slots(prepared)
+    labelled = assign_sessions(purchase_events(prepared), slot_lookup(slots))
+    return segment_sessions(slots), extract_purchases(labelled)
+
+
+def _timed_purchases(prepared: DataFrame) -> DataFrame:
+    """Minutes from session start to purchase; no payload is read."""
+    labelled = assign_sessions(purchase_events(prepared), slot_lookup(narrow_slots(prepared)))
+    times = labelled.select(F.col("ts").alias("purchase_ts"), "session_start_ts")
+    return kpis.minutes_to_purchase(times)
+
+
 def _tables(
     prepared: DataFrame, bought: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -436,14 +451,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("kpi_totals")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    totals = kpis.kpi_totals(*_sessions_and_purchases(prepared))
+    totals = kpis.kpi_totals(*_counted_sessions_and_purchases(prepared))
     return _rounded(_rounded(totals, 2, "total_revenue"), 6, "conversion", "aov", "rps")
 
 
 @query("daily_kpis")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    daily = kpis.daily_kpis(*_sessions_and_purchases(prepared))
+    daily = kpis.daily_kpis(*_counted_sessions_and_purchases(prepared))
     return _rounded(_rounded(daily, 2, "revenue"), 6, "purchase_rate")
 
 
@@ -482,15 +497,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("time_to_purchase")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _prepared(spark, sf_dir)
-    timed = kpis.minutes_to_purchase(_purchases(prepared, segment_slots(prepared)))
+    timed = _timed_purchases(_prepared(spark, sf_dir))
     return _rounded(kpis.time_to_purchase(timed), 5, "median_minutes", "p90_minutes")
 
 
 @query("time_to_purchase_hist")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _prepared(spark, sf_dir)
-    timed = kpis.minutes_to_purchase(_purchases(prepared, segment_slots(prepared)))
+    timed = _timed_purchases(_prepared(spark, sf_dir))
     return _rounded(kpis.time_to_purchase_histogram(timed), 5, "low", "high")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clicktide.operators import kpis, monitoring, reconcile
 from clicktide.operators.facts import build_daily_fact, daily_channel_funnel
-from clicktide.operators.quantiles import exact_quantiles, histogram
+from clicktide.operators.quantiles import exact_quantiles, histogram, quantile_row
 
 BASE = datetime(2025, 1, 1, 12)
 SESSIONS = (
@@ -187,6 +187,14 @@ def test_exact_quantiles_match_interpolated_percentiles(spark):
     want = df.select(F.percentile("x", F.array(*[F.lit(p) for p in got]))).first()[0]
     assert list(got.values()) == pytest.approx(want)
     assert got[0.5] == statistics.median(xs)
+    row = quantile_row(df, "x", {"low": 0.25, "middle": 0.5, "again": 0.5, "high": 0.9}, 2.0).first()
+    assert row.asDict() == pytest.approx({"low": got[0.25] / 2, "middle": got[0.5] / 2, "again": got[0.5] / 2, "high": got[0.9] / 2})
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None,)], "x long")
+    assert exact_quantiles(df, "x", (0.5,), 1.0).count() == 0
+    assert quantile_row(df, "x", {"middle": 0.5}, 1.0).first().middle is None
 
 
 def test_histogram_edges(spark):

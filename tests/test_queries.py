@@ -75,3 +75,22 @@ def test_flagship_judges_purchases_once(spark):
     plan.collect()
     final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
     assert final.count("min(_place") <= 2 and "ReusedExchange" in final
+
+
+def _final_plan(frame) -> str:
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+
+
+def test_purchase_times_are_counted_once(spark):
+    """Both passes of the quantiles read one exchange of the counted values; no payload is parsed."""
+    final = _final_plan(QUERIES["time_to_purchase"](spark, SF_DIR))
+    assert final.count("FileScan") == 2 and "parseJson" not in final
+    assert final.count("- ReusedExchange") == 1
+
+
+@pytest.mark.parametrize("name", ["kpi_totals", "daily_kpis", "time_to_purchase", "time_to_purchase_hist"])
+def test_counted_sessions_are_not_sorted_first(spark, name):
+    """Slots of times only are aggregated by hash, and the branches share the exchange of the events."""
+    final = _final_plan(QUERIES[name](spark, SF_DIR))
+    assert "SortAggregate" not in final and final.count("FileScan") == 2
