@@ -1,6 +1,8 @@
 import csv
 import json
+import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -307,3 +309,28 @@ def test_lines_as_records(spark, tmp_path):
     (raw / "events_20250101.csv").write_text('client_id,page_url\na,5" screen\nb,c\n')
     got = {r.client_id: r.page_url for r in event_files.read_event_folder(spark, str(raw), multi_line=False).collect()}
     assert got == {"a": '5" screen', "b": "c"}
+
+
+def test_numbers_of_splits_match_a_plain_loop():
+    """Offsets, open quotes and owners of splits, in any order of the measurements and over several tables."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for rank, file in enumerate((-7, 3, 2**62, 5)):
+        offset = inside = owner = 0
+        for split in range(0, rng.randrange(1, 9) * 100, 100):
+            size, quotes = rng.randrange(1, 200), rng.randrange(4)
+            last = [rng.choice([-1, rng.randrange(size)]) for _ in range(2)]
+            rows.append((file, split, size, quotes, *last))
+            want[file, split] = event_files.Split(rank, offset, bool(inside), owner)
+            owner = offset + last[inside] if last[inside] >= 0 else owner
+            offset, inside = offset + size, (inside + quotes) % 2
+    rng.shuffle(rows)
+    names = ["file", "split", "bytes", "quotes", "last_outside", "last_inside"]
+    tables = [
+        pa.table({n: pa.array([r[k] for r in part], pa.int64()) for k, n in enumerate(names)})
+        for part in (rows[:4], rows[4:], [])
+    ]
+    splits = event_files.Splits(tables, {-7: 0, 3: 1, 2**62: 2, 5: 3})
+    assert {key: splits.find(*key) for key in want} == want
+    assert splits.find(3, 50) is None and splits.find(4, 0) is None and splits.find(2**62, 10**6) is None
+    assert len(event_files.Splits([t.slice(0, 0) for t in tables], {}).file) == 0
