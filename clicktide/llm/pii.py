@@ -10,10 +10,11 @@ written, which separators a card has). Negative is a proposal that cannot be of
 another kind only, fails the kind's own check (digits, Luhn, octets), hangs together with letters or follows a word
 that announces some other number. All other proposals, among them every real one that the base patterns miss,
 are not learned from, however frequent they are; they are what the trees judge. The threshold of a kind is
-calibrated on a third of the sample.
+calibrated on a third of what is learned from.
 
-Everything that touches the corpus is a DataFrame expression. The trees are fitted on the driver from at most
-`rows` proposals and compiled into CASE expressions.
+Everything that touches the corpus is a DataFrame expression. The trees are fitted on all settled proposals and
+compiled into CASE expressions: equal ones are counted, and where more than `rows` different ones are left, Spark
+sums their gradients by node, feature and value, so that only these sums go to the driver.
 
 Regular expressions are written so that Java matches them without recursion and in linear time: a first
 replacement marks separators that cannot belong to a match, after that each pattern is a run of one class.
@@ -29,12 +30,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicktide.llm.common import fresh_name, store
+from clicktide.llm.common import fresh_name, remove, shared_folder, store
 from clicktide.llm.quality_rules import let
 
 KINDS = ("email", "ip", "card", "phone")
-#: Proposals that the trees are fitted on at most.
+#: Different settled proposals that the driver fits the trees on; more are summed by Spark.
 ROWS = 4000
+#: Gradients are summed as whole multiples of 1 / UNIT, whose sums do not depend on an order.
+UNIT = 1 << 30
+#: Digits of a score, and those that a pass of `at_ranks` settles.
+SCORE_BITS, PASS_BITS = 40, 10
 #: Private signs: a mark around matches, a filler for separators out of place, what replaces them in a text.
 MARK, FILLER, STRANGE = "", "", ""
 #: Segments whose lengths are summed in a first step.
@@ -284,7 +289,7 @@ def annotate(documents: DataFrame, text: str = "text", into: str = "pii") -> Dat
     return documents.withColumn(into, let(plain(F.col(text)), both))
 
 
-# --- Gradient boosted trees on a bounded sample -----------------------------------------------------
+# --- Gradient boosted trees -------------------------------------------------------------------------
 
 
 @dataclass
@@ -385,11 +390,146 @@ def quantile(values: np.ndarray, times: np.ndarray, share: float) -> float:
     return float(low + (high - low) * (place - np.floor(place)))
 
 
+def best_split(sums: dict[int, list[tuple[int, int, int]]], total: tuple[int, int]):
+    """The split of `grow` from the sums (value, slope, curve) of each feature: (feature, bound, sums of the low side)."""
+
+    def gain(s: int, c: int) -> float:
+        return (s / UNIT) ** 2 / (c / UNIT + 1.0)
+
+    best, found = 1e-6, None
+    for f in sorted(sums):
+        low_s = low_c = 0
+        for value, s, c in sorted(sums[f])[:-1]:
+            low_s, low_c = low_s + s, low_c + c
+            high_s, high_c = total[0] - low_s, total[1] - low_c
+            if low_c < UNIT or high_c < UNIT:
+                continue
+            won = gain(low_s, low_c) + gain(high_s, high_c) - gain(*total)
+            if won > best:
+                best, found = won, (f, value, (low_s, low_c))
+    return found
+
+
+def grow_all(rows: DataFrame, depth: int, rate: float):
+    """The tree of `grow` on rows (features, label, weight, margin): a pass of Spark for each level.
+
+    A level's sums by node, feature and value go to the driver; features are counts within short spans, so there
+    are few values. Nodes are numbered like a heap.
+    """
+    splits: dict[int, tuple[int, int]] = {}
+    totals: dict[int, tuple[int, int]] = {}
+
+    def node(number: int = 1) -> Column:
+        if number not in splits:
+            return F.lit(number)
+        f, bound = splits[number]
+        return F.when(F.col("features")[f] <= bound, node(2 * number)).otherwise(node(2 * number + 1))
+
+    p = 1 / (1 + F.exp(-F.col("margin")))
+
+    def whole(gradient: Column) -> Column:
+        return F.sum((F.round(gradient * UNIT).cast("long") * F.col("weight")).cast("decimal(38,0)"))
+
+    level = [1]
+    for _ in range(depth):
+        each = rows.select(
+            node().alias("node"), (F.col("label") - p).alias("slope"), (p * (1 - p)).alias("curve"), "weight",
+            F.posexplode("features").alias("feature", "value"),
+        ).where(F.col("node").isin(level))
+        summed = each.groupBy("node", "feature", "value").agg(whole(F.col("slope")).alias("s"), whole(F.col("curve")).alias("c"))
+        sums: dict[int, dict[int, list[tuple[int, int, int]]]] = {n: {} for n in level}
+        for r in summed.collect():
+            sums[r.node].setdefault(r.feature, []).append((r.value, int(r.s), int(r.c)))
+        for n in level:
+            if n == 1:
+                totals[1] = (sum(s for _, s, _ in sums[1][0]), sum(c for _, _, c in sums[1][0]))
+            if found := best_split(sums[n], totals[n]):
+                f, bound, low = found
+                splits[n] = f, bound
+                totals[2 * n], totals[2 * n + 1] = low, (totals[n][0] - low[0], totals[n][1] - low[1])
+        level = [child for n in level if n in splits for child in (2 * n, 2 * n + 1)]
+        if not level:
+            break
+
+    def built(number: int):
+        if number in splits:
+            return *splits[number], built(2 * number), built(2 * number + 1)
+        s, c = totals[number]
+        return rate * (s / UNIT) / (c / UNIT + 1.0)
+
+    return built(1)
+
+
+def at_ranks(keys: DataFrame, wanted: list[tuple[int, int]]) -> list[int]:
+    """The key at each (kind, rank from 0) of rows (kind, key, times): its leading bits by counts, some in each pass."""
+    heads = [(kind, 0, rank) for kind, rank in wanted]
+    for shift in range(SCORE_BITS - PASS_BITS, -1, -PASS_BITS):
+        head, met = F.shiftright("key", shift), F.lit(False)
+        for kind, above, _ in heads:
+            met = met | ((F.col("kind") == kind) & (F.shiftright("key", shift + PASS_BITS) == above))
+        counts = sorted(map(tuple, keys.where(met).groupBy("kind", head.alias("head")).agg(F.sum("times")).collect()))
+        found = []
+        for kind, above, rank in heads:
+            for own, value, n in counts:
+                if own == kind and value >> PASS_BITS == above:
+                    if rank < n:
+                        found.append((kind, value, rank))
+                        break
+                    rank -= n
+        heads = found
+    return [value for _, value, _ in heads]
+
+
+def boost_all(
+    counted: DataFrame, rounds: int = 40, depth: int = 3, rate: float = 0.4, recall: float = 0.95, least: float = 0.9,
+) -> Trees:
+    """`boost` on any number of stored rows (features, label, n), none of which goes to the driver.
+
+    Of rows that occur fewer than three times, those with a hash in one third of all are set apart. The rounds
+    end when no split is left.
+    """
+    spark = counted.sparkSession
+    unit = counted.agg(F.min("n")).first()[0]
+    while rest := counted.where(F.col("n") % unit > 0).agg(F.min(F.col("n") % unit)).first()[0]:
+        unit = rest  # Euclid's algorithm
+    third = F.pmod(F.xxhash64("label", "features"), F.lit(3)) == 2
+    rows = counted.select("features", "label", F.expr(f"n div {unit}").alias("times"))
+    apart = F.when(F.col("times") >= 3, F.expr("times div 3")).when(third, F.col("times")).otherwise(F.lit(0).cast("long"))
+    rows = rows.withColumn("apart", apart).withColumn("weight", F.col("times") - F.col("apart"))
+    total = rows.agg(F.sum(F.col("label") * F.col("weight")), F.sum("weight")).first()
+    share = float(np.clip(total[0] / max(total[1], 1), 1e-4, 1 - 1e-4))
+    model, folder = Trees(float(np.log(share / (1 - share)))), None
+    margin = F.lit(model.start)
+    for _ in range(rounds):
+        last, folder = folder, shared_folder(spark)
+        rows = store(rows.select("features", "label", "apart", "weight", margin.alias("margin")), folder)
+        if last:
+            remove(spark, last)
+        tree = grow_all(rows, depth, rate)
+        model.trees.append(tree)
+        margin = F.col("margin") + Trees(trees=[tree]).expression(F.col("features"))
+        if not isinstance(tree, tuple):
+            break
+    score = 1 / (1 + F.exp(-margin))
+    key = F.least(F.floor(score * (1 << SCORE_BITS)), F.lit((1 << SCORE_BITS) - 1)).cast("long")
+    keys = rows.where("label = 1 AND apart > 0").select(F.col("features")[0].alias("kind"), key.alias("key"), F.col("apart").alias("times"))
+    places = {
+        r.kind: (1 - recall) * (r.n - 1) for r in keys.groupBy("kind").agg(F.sum("times").alias("n")).collect() if r.n >= 5
+    }
+    wanted = [(k, int(end)) for k, place in places.items() for end in (np.floor(place), np.ceil(place))]
+    found = iter(at_ranks(keys, wanted))
+    for k, place in places.items():
+        low, high = next(found) / (1 << SCORE_BITS), next(found) / (1 << SCORE_BITS)
+        model.thresholds[KINDS[k]] = max(least, low + (high - low) * (place - np.floor(place)) - 1e-9)
+    if folder:
+        remove(spark, folder)
+    return model
+
+
 def fit(annotated: DataFrame, into: str = "pii", rows: int = ROWS) -> Trees:
-    """Trees fitted on at most `rows` distinct settled proposals, drawn by priority: count over a hash in (0, 1].
+    """Trees fitted on all settled proposals, each counting as often as it occurs.
 
-    With more distinct proposals than that, each stands for at least the highest priority left out, so frequent
-    ones are in and count as often as they occur, and the others together stand for all that were not drawn.
+    Up to `rows` different ones are fitted on the driver; more stay where they are and Spark sums their gradients.
     """
     settled = F.filter(F.col(into)["proposed"], lambda p: p["same"].isNotNull())
     each = annotated.select(F.explode(settled).alias("p")).select(
@@ -397,16 +537,17 @@ def fit(annotated: DataFrame, into: str = "pii", rows: int = ROWS) -> Trees:
     )
     counted = each.groupBy("features", "label").agg(F.count("*").alias("n"))
     chance = (F.pmod(F.xxhash64("features", "label"), F.lit(1 << 52)) + 1) / F.lit(float(1 << 52))
-    drawn = counted.withColumn("priority", F.col("n") / chance)
-    sample = drawn.orderBy(F.desc("priority"), "features", "label").limit(rows + 1).collect()
-    if not sample:
+    ordered = counted.orderBy(F.desc(F.col("n") / chance), "features", "label")
+    few = ordered.limit(rows + 1).collect()  # in an order that says which rows `boost` sets apart
+    if not few:
         return Trees()
-    least = sample[rows].priority if len(sample) > rows else 0.0
-    sample = sample[:rows]
-    x, y = np.array([r.features for r in sample], np.int64), np.array([r.label for r in sample], float)
-    times = np.array([r.n for r in sample], np.int64)
-    unit = int(np.gcd.reduce(times))
-    return boost(x, y, np.rint(np.maximum(times / unit, least / unit)).astype(np.int64))
+    if len(few) > rows:
+        folder = shared_folder(annotated.sparkSession)
+        model = boost_all(store(counted, folder))
+        remove(annotated.sparkSession, folder)
+        return model
+    x, y = np.array([r.features for r in few], np.int64), np.array([r.label for r in few], float)
+    return boost(x, y, np.array([r.n for r in few], np.int64))
 
 
 def selected(model: Trees, pii: Column) -> Column:

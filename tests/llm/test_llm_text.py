@@ -319,6 +319,41 @@ def test_frequent_proposals_are_always_learned_from(spark):
         assert 0.5 < share < 0.85  # 1000 of 1400
 
 
+def test_many_proposals_are_all_learned_from(spark, monkeypatch):
+    """More different proposals than the driver takes give the trees that it would have fitted on all of them."""
+    rng, size = np.random.default_rng(8), len(pii.FEATURES)
+    x = rng.integers(0, 9, (400, size))
+    x[:, 0] = rng.integers(0, 2, 400)
+    y = ((x[:, 1] > 4) & (x[:, 5] < 6) | (x[:, 3] == 7)).astype(int)
+    times = 6 * rng.integers(1, 30, 400)  # a common factor, and all large enough to be set apart by thirds
+    table = [([int(v) for v in row], int(label), int(n)) for row, label, n in zip(x, y, times, strict=True)]
+    counted = spark.createDataFrame(table, "features array<int>, label int, n long").where("n >= 18").repartition(4)
+    far = times >= 18
+    one = pii.boost(x[far], y[far].astype(float), times[far], rounds=3)
+    many = pii.boost_all(counted, rounds=3)
+    assert np.allclose(one.margin(x), many.margin(x), atol=1e-5) and set(many.thresholds) == {"email", "ip"}
+    assert all(np.isclose(one.thresholds[k], many.thresholds[k], atol=1e-5) for k in one.thresholds)
+    proposed = "array<struct<features:array<int>,same:boolean>>"
+    rows = spark.createDataFrame([([(f, bool(label))] * n,) for f, label, n in table], "proposed " + proposed)
+    rows = rows.select(F.struct("proposed").alias("pii"))
+    boost_all = pii.boost_all
+    monkeypatch.setattr(pii, "boost_all", lambda counted: boost_all(counted, rounds=1))
+    least = pii.fit(rows, rows=20)
+    times = times // np.gcd.reduce(times)
+    third = [r[0] for r in spark.createDataFrame(table, counted.schema).select(F.pmod(F.xxhash64("label", "features"), F.lit(3)) == 2).collect()]
+    weight = times - np.where(times >= 3, times // 3, np.array(third) * times)
+    assert np.isclose(1 / (1 + np.exp(-least.start)), (y * weight).sum() / weight.sum())
+
+
+def test_keys_at_ranks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(k % 2), int(rng.integers(0, 1 << pii.SCORE_BITS)), int(rng.integers(1, 5))) for k in range(60)] + [(0, 7, 3), (0, 7, 2)]
+    keys = spark.createDataFrame(rows, "kind int, key long, times long")
+    listed = {kind: sorted(key for k, key, n in rows if k == kind for _ in range(n)) for kind in (0, 1)}
+    wanted = [(kind, rank) for kind in (0, 1) for rank in (0, 4, 5, 17, len(listed[kind]) - 1)]
+    assert pii.at_ranks(keys, wanted) == [listed[kind][rank] for kind, rank in wanted]
+
+
 def test_redaction(spark, edge_documents, no_documents):
     docs = spark.createDataFrame(
         [(1, "é mail x.y@z.org, +1 (974) 555-3436 and 1.2.3.4!", "s"), (2, None, None), (3, "clean", "s")],
