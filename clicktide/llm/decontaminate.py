@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -392,11 +392,15 @@ def find(documents: DataFrame, benchmark: DataFrame, window: int = 10, text: str
     if len(blocks) > 1:
         return joined(out, hits(out.select(F.col(f"`{text}`").alias("text")), folder, blocks, window), text, into)
     schema = T.StructType([*out.schema.fields, T.StructField(into, FOUND)])
-    place, names = out.columns.index(text), schema.names
+    return out.mapInArrow(scan_with(folder, blocks[0], window, out.columns.index(text), schema.names), schema)
+
+
+def scan_with(folder: str, name: str, window: int, place: int, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task does with one block: its batches with a last column of what is found in the texts at `place`."""
     kind = pa.struct([("n_words", pa.int64()), ("spans", SPANS), ("items", pa.list_(pa.string()))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = block_of(folder, blocks[0], window)
+        own = block_of(folder, name, window)
         for batch in batches:
             for block in text_blocks(batch, place):
                 rows = [
@@ -405,7 +409,7 @@ def find(documents: DataFrame, benchmark: DataFrame, window: int = 10, text: str
                 ]
                 yield pa.RecordBatch.from_arrays([*block.columns, pa.array(rows, kind)], names)
 
-    return out.mapInArrow(scan, schema)
+    return scan
 
 
 def hits(texts: DataFrame, folder: str, blocks: list[str], window: int) -> DataFrame:
@@ -517,29 +521,34 @@ def clean(documents: DataFrame, benchmark: DataFrame, window: int = 10, most_cov
     """Documents without benchmark passages, in the columns they came with.
 
     Covered spans go; documents with more than `most_covered` of their words covered go altogether. Others
-    stay as they are.
+    stay as they are. A single block is searched and cut out in one pass: two Python steps in a task would be two
+    workers, each with its own memory for as long as the executor keeps it.
     """
-    into = "found"
-    while into in documents.columns:
-        into += "_"
-    found = find(documents, benchmark, window, text, into, item_id, item_text)
-    hit = F.aggregate(F.col(into)["spans"], F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    kept = found.where(hit <= F.lit(most_covered) * F.col(into)["n_words"])
-    place, spans = kept.columns.index(text), kept.columns.index(into)
+    into = fresh_name(documents, "found")
+    names, place = documents.columns, documents.columns.index(text)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = batch.column(spans).field("spans")
-            rows = np.flatnonzero(np.diff(marks.offsets.to_numpy()) > 0)
+            found = batch.column(len(names))
+            marks = found.field("spans")
+            bounds = marks.offsets.to_numpy()
+            ends = np.cumsum([0, *(s["end"] - s["start"] for s in marks.flatten().to_pylist())])
+            hit = np.diff(ends[bounds - bounds[0]])
+            rows = np.flatnonzero(hit)
             texts = batch.column(place)
             if len(rows):
                 changed = texts.to_pylist()
                 for row in rows.tolist():
-                    changed[row] = without_spans(changed[row], batch.column(spans)[row].as_py()["spans"])
+                    changed[row] = without_spans(changed[row], marks[row].as_py())
                 texts = pa.array(changed, texts.type)
-            columns = [texts if k == place else batch.column(k) for k in range(batch.num_columns) if k != spans]
-            yield pa.RecordBatch.from_arrays(columns, documents_names)
-
-    documents_names = documents.columns
-    return kept.mapInArrow(strip, documents.schema)
+            columns = [texts if k == place else batch.column(k) for k in range(len(names))]
+            few = hit <= most_covered * found.field("n_words").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(few))
 
+    folder = shared_folder(documents.sparkSession)
+    blocks = write_blocks(benchmark, window, item_id, item_text, folder)
+    if len(blocks) > 1:
+        found = joined(documents, hits(documents.select(F.col(f"`{text}`").alias("text")), folder, blocks, window), text, into)
+        return found.mapInArrow(strip, documents.schema)
+    scan = scan_with(folder, blocks[0], window, place, [*names, into])
+    return documents.mapInArrow(lambda batches: strip(scan(batches)), documents.schema)

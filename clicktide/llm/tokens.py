@@ -155,3 +155,4 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, column: int) -> Iterat
                 yield block, *own.texts(block.column(column))
     finally:
         own.forget()
+        pa.default_memory_pool().release_unused()  # a worker waits for its next task without the blocks of the last

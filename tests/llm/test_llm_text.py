@@ -433,6 +433,20 @@ def test_repetitive_texts_match_brute_force(spark, monkeypatch, block_words, has
         assert spans == decontaminate.merged(spans)
 
 
+def test_cleaning_is_one_step_of_python(spark, sf_dir):
+    """A second step in the same tasks would be a second worker for each core of an executor."""
+    documents, bench = queries.table(spark, sf_dir, "documents"), queries.table(spark, sf_dir, "benchmark")
+    clean = decontaminate.clean(documents, bench)
+    assert clean._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    found = decontaminate.find(documents, bench)
+    hit = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    wanted = {
+        r.doc_id: decontaminate.without_spans(r.text, r.found.spans) if r.found.spans else r.text
+        for r in found.where(hit <= F.lit(0.5) * F.col("found.n_words")).collect()
+    }
+    assert {r.doc_id: r.text for r in clean.collect()} == wanted
+
+
 def test_blocks_store_hits_not_texts(spark, monkeypatch, sf_dir, tmp_path):
     """Ten blocks or more over the given documents: the result of one block, and little beside the hits stored."""
     documents, bench = queries.table(spark, sf_dir, "documents"), queries.table(spark, sf_dir, "benchmark")
