@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktide.llm import common, tokens
@@ -310,23 +310,25 @@ def pack(
     )
     if parts * capacity * 12 <= BROADCAST_BYTES:  # a bounded row for each task that encoded
         firsts = F.broadcast(firsts)
-    found = held.join(firsts, "part").select("doc_id", "doc_tokens", "tail", "tail_rank", "chunk_rank", "ids", "kinds", "firsts", "part")
+
+    def rank(kind: Column, own: str) -> Column:
+        """A rank among all documents; looked up here, as the arrays of a task beside each of its rows are 12 kB a row."""
+        return (F.get("firsts", (F.array_position("kinds", kind) - 1).cast("int")) + F.col(own)).alias(own)
+
+    found = held.join(firsts, "part").select(
+        "doc_id", "doc_tokens", "tail", rank(F.col("tail"), "tail_rank"), rank(F.lit(0), "chunk_rank"), "ids"
+    )
     id_type = held.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, base = None, {}
         for whole in batches:
             for batch in common.text_blocks(whole, 5, CUT_BYTES):
                 docs, places = [], []
-                columns = [batch.column(k).to_pylist() for k in (1, 2, 3, 4, 8)]
-                for k, (n, tail, tail_rank, chunk_rank, own_part) in enumerate(zip(*columns, strict=True)):
-                    if own_part != part:
-                        part = own_part
-                        base = dict(zip(batch.column(6)[k].as_py(), batch.column(7)[k].as_py(), strict=True))
-                    first = base[0] + chunk_rank
+                columns = [batch.column(k).to_pylist() for k in (1, 2, 3, 4)]
+                for k, (n, tail, tail_rank, first) in enumerate(zip(*columns, strict=True)):
                     pieces = [(first + c, 0, capacity) for c in range(n // capacity)]
                     if tail:
-                        pieces += layout.place(tail, base[tail] + tail_rank)
+                        pieces += layout.place(tail, tail_rank)
                     docs += [k] * len(pieces)
                     places += pieces
                 owner, placed = np.array(docs, np.int32), np.array(places, np.int64).reshape(-1, 3)

@@ -36,6 +36,9 @@ PAIRED = 64
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Shingles whose bits are counted at a time.
 COUNTED = 1 << 16
+#: Marks of kept rows: a map of 4096 bytes for so many row numbers; maps are broadcast up to this size, else joined by a shuffle.
+MARKED = 1 << 15
+BROADCAST_BYTES = 64 << 20
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -223,6 +226,23 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, bits: int = 2, doc_i
     return held.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def marked(rows: DataFrame, numbers: DataFrame, row: str) -> DataFrame:
+    """The rows whose number `row` is in `numbers` (number), which come as one bit each: the rows are not shuffled.
+
+    Numbers of monotonically_increasing_id() lie dense within a task's rows, so a task has a map for each MARKED
+    rows and one more at most.
+    """
+    maps = numbers.groupBy(F.shiftright("number", 15).alias("map")).agg(
+        F.bitmap_construct_agg(F.col("number").bitwiseAND(MARKED - 1)).alias("bits")
+    )
+    maps = common.store(maps)
+    few = maps.count() * MARKED // 8 <= BROADCAST_BYTES
+    place = rows[row].bitwiseAND(MARKED - 1)
+    byte = F.conv(F.hex(F.substring(maps["bits"], F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    kept = F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1
+    return rows.join(F.broadcast(maps) if few else maps, (F.shiftright(rows[row], 15) == maps["map"]) & kept, "left_semi")
+
+
 def keep_one(documents: DataFrame, shingle: int = 3, bits: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, in the columns it came with: the smallest doc_id, of repeated ids one row."""
     names = documents.columns
@@ -232,5 +252,5 @@ def keep_one(documents: DataFrame, shingle: int = 3, bits: int = 2, doc_id: str
     slim = held.select(F.col(row).alias("row"), F.col(doc_id).alias("doc_id"), F.col(fp).alias("fp"))
     first = slim.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first"))
     rooted = first.join(roots(slim, bits), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
-    return held.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in names])
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("number"))
+    return marked(held, kept, row).select(*[F.col(f"`{c}`") for c in names])

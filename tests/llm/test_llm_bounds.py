@@ -220,3 +220,68 @@ def test_rounds_of_components_leave_one_table(spark, monkeypatch, tmp_path):
     assert found == dict.fromkeys(range(41), 0)
     assert len(list(tmp_path.glob("llm-*"))) == 1
     assert simhash.components(edges.where(F.lit(False))).count() == 0
+
+
+# --- Kept rows by maps of bits --------------------------------------------------------------------------
+
+
+def numbered_rows(spark, n):
+    """Rows of three tasks with their numbers; each holds more than one map of numbers."""
+    return spark.range(0, n, 1, 3).select(F.col("id").alias("doc_id"), F.monotonically_increasing_id().alias("row"))
+
+
+@pytest.mark.parametrize("limit", [simhash.BROADCAST_BYTES, 0])
+def test_marked_rows_are_those_of_a_semi_join(spark, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "BROADCAST_BYTES", limit)
+    rows = numbered_rows(spark, 3 * (simhash.MARKED + 9))
+    for chosen in (F.xxhash64("row") % 5 == 0, F.col("row").bitwiseAND(simhash.MARKED - 1).isin(0, 7, 8, simhash.MARKED - 1), F.lit(True), F.lit(False)):
+        numbers = rows.where(chosen).select(F.col("row").alias("number"))
+        found = simhash.marked(rows, numbers, "row")
+        assert found.columns == rows.columns
+        wanted = rows.where(chosen)
+        assert found.count() == wanted.count() and found.exceptAll(wanted).isEmpty()
+
+
+def test_kept_texts_are_not_shuffled(spark):
+    """One row of each component without the corpus crossing the network, whatever Spark takes for small."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(k, f"text {k % 7} of a few words") for k in range(40)], "doc_id long, text string").repartition(4)
+        kept = simhash.keep_one(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        assert {r.doc_id for r in kept.collect()} == {min(r) for r in groups(docs)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def groups(docs):
+    """The doc_ids of each component."""
+    found = {}
+    for r in simhash.near_duplicates(docs).collect():
+        found.setdefault(r.component_id, []).append(r.doc_id)
+    return found.values()
+
+
+@pytest.mark.parametrize("limit", [packing.BROADCAST_BYTES, 0])
+def test_rows_to_pack_carry_no_tables(spark, monkeypatch, limit):
+    """What Python gets of a document is bounded by its ids: ranks come as numbers, not as the arrays of its task."""
+    monkeypatch.setattr(packing, "BROADCAST_BYTES", limit)
+    docs = spark.createDataFrame([(k, "word " * (k % 50)) for k in range(300)], "doc_id long, text string").repartition(3)
+    made = packing.pack(docs, queries.BYTE_BPE, capacity=16)
+    node = made._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "MapInArrow":
+        node = node.children().apply(0)
+    assert "array" not in node.children().apply(0).schema().simpleString()
+    found = {}
+    for r in made.collect():
+        found.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        assert len(r.ids) == 4 * r.length
+    for pieces in found.values():
+        ends = [0]
+        for offset, length in sorted(pieces):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+    sizes = [sum(length for _, length in pieces) for pieces in found.values()]
+    assert sum(size != 16 for size in sizes) <= 4 and sorted(found) == list(range(len(found)))
